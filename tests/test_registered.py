@@ -1,0 +1,55 @@
+"""Every registered query against its SQL in DuckDB, over the whole tables."""
+
+import glob
+import math
+import os
+
+import duckdb
+import pytest
+
+from cardlake.plans.queries import QUERIES, SQL
+
+
+@pytest.fixture(scope="module")
+def oracle(sf_dir):
+    connection = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    yield connection
+    connection.close()
+
+
+def _cell(value):
+    if isinstance(value, float):
+        return (1, "nan" if math.isnan(value) else f"{value:.6f}")
+    if value is None:
+        return (0, "")
+    return (1, str(value))
+
+
+def _sorted(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_matches_sql(name, spark, sf_dir, oracle):
+    result = QUERIES[name](spark, sf_dir)
+    rows = [tuple(r) for r in result.collect()]
+    found = oracle.execute(SQL[name])
+    columns = [d[0] for d in found.description]
+    assert sorted(result.columns) == sorted(columns)
+    assert rows or name.endswith("_one")
+    expected = _sorted(columns, found.fetchall())
+    assert _sorted(result.columns, rows) == expected
+    spark_types = {f.name: f.dataType.typeName() for f in result.schema}
+    kinds = {
+        "BIGINT": "long", "INTEGER": "integer", "DOUBLE": "double", "VARCHAR": "string",
+        "BOOLEAN": "boolean",
+    }
+    assert spark_types == {d[0]: kinds[str(d[1])] for d in found.description}
