@@ -32,7 +32,8 @@ def timeid_date(timeid: Column) -> Column:
 
 
 def date_to_timeid(c: Column) -> Column:
-    return F.date_format(c, DAY_KEY_PATTERN)
+    # by arithmetic: several times cheaper than a date formatter
+    return zero_pad(F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c), 8)
 
 
 def month_key(timeid: Column) -> Column:

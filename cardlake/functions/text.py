@@ -16,19 +16,19 @@ ID_LENGTH = 9
 MASK_PREFIX = "XXX-XX-"
 STATUS_LABELS = {"Y": "Approved", "N": "Not Approved"}
 
-# A letter with case. Other letters (for example CJK) do not continue a word.
-_CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
+# Letters with case. Other letters (for example CJK) do not continue a word.
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 # U+FFFF is a noncharacter, so it does not occur in interchanged text.
-_WORD_MARK = "￿ "
+_WORD_MARK = "\uffff "
 
 
 def title_case(c: Column) -> Column:
     """Upper-case the first letter of every run of letters, lower-case the rest.
 
-    ``initcap`` starts a word only after a space, so every word start gets a
+    ``initcap`` starts a word only after a space, so every other word start gets a
     marked space first, which is taken out again afterwards.
     """
-    marked = F.regexp_replace(F.lower(c), f"(?<!{_CASED})(?={_CASED})", _WORD_MARK)
+    marked = F.regexp_replace(c, f"([^{_CASED} ])(?=[{_CASED}])", "$1" + _WORD_MARK)
     return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlake.operators.sizing import MAX_BROADCAST_BYTES, broadcast_if_small, fits_broadcast
+from cardlake.operators.sizing import MAX_BROADCAST_BYTES, broadcast_if_small, fit_broadcast
 
 
 def join_customer(
@@ -72,7 +72,7 @@ def matched_totals(
         "BRANCH_CODE": branch.select("BRANCH_CODE", *([by] if from_branch else [])),
         "CUST_SSN": customer.select(F.col("SSN").alias("CUST_SSN")),
     }
-    small = {k: fits_broadcast(d, max_broadcast_bytes) for k, d in dimensions.items()}
+    small = fit_broadcast(dimensions, max_broadcast_bytes)
 
     fact_by = [] if from_branch or by in dimensions else [by]
     rows = txn.select(

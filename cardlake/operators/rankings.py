@@ -75,18 +75,18 @@ def top_customer_breakdown(
     """
     per_type = txn.groupBy(ssn_col, type_col).agg(F.sum(value_col).alias("total"))
     best = (
-        per_type.groupBy(ssn_col).agg(F.sum("total").alias("total"))
-        .orderBy(F.desc("total"), ssn_col).limit(1)
-        .select(F.col(ssn_col).alias("_best"))
+        per_type.groupBy(F.col(ssn_col).alias("_best"))
+        .agg(F.sum("total").alias("_whole"))
+        .orderBy(F.desc("_whole"), "_best").limit(1)
     )
-    # Null-safe, so that no null filter is pushed under the shared shuffle. One
-    # row is broadcast.
-    rows = per_type.join(
-        F.broadcast(best), per_type[ssn_col].eqNullSafe(best["_best"]), "left_semi"
-    ).select(type_col, "total")
-    shares = with_share(rows, "total")
-    return shares.orderBy(F.desc("total"), type_col).select(
-        type_col, rounded(F.col("total")).alias("total_amount"), "percentage"
+    # One row is broadcast. The join is null-safe and inner, as a null filter or a
+    # semi join would be pushed under one of the two uses of the shared shuffle.
+    rows = per_type.join(F.broadcast(best), per_type[ssn_col].eqNullSafe(best["_best"]))
+    share = F.try_divide(100 * F.col("total").cast("double"), F.col("_whole").cast("double"))
+    return rows.orderBy(F.desc("total"), type_col).select(
+        type_col,
+        rounded(F.col("total")).alias("total_amount"),
+        F.round(share, 1).alias("percentage"),
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -11,19 +14,28 @@ MAX_BROADCAST_BYTES = 64 << 20
 _FIXED_WIDTH = 16
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df``, from one aggregation over it."""
+def _measure(df: DataFrame) -> DataFrame:
     texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
     per_row = _FIXED_WIDTH * (1 + len(df.columns))
-    sizes = [F.count(F.lit(1)).alias("rows")] + [
-        F.sum(F.octet_length(F.col(c))).alias(c) for c in texts
-    ]
-    found = df.agg(*sizes).first()
-    return found[0] * per_row + sum(size or 0 for size in found[1:])
+    size = F.count(F.lit(1)) * per_row
+    for name in texts:
+        size = size + F.coalesce(F.sum(F.octet_length(F.col(name))), F.lit(0))
+    return df.agg(size.alias("bytes"))
+
+
+def fit_broadcast(
+    dimensions: Mapping[str, DataFrame], max_bytes: int = MAX_BROADCAST_BYTES
+) -> dict[str, bool]:
+    """Which dimensions are small, measured by one aggregation over all of them."""
+    if max_bytes <= 0:
+        return dict.fromkeys(dimensions, False)
+    sizes = [_measure(df).withColumn("name", F.lit(name)) for name, df in dimensions.items()]
+    found = reduce(DataFrame.unionAll, sizes).collect()
+    return {row["name"]: row["bytes"] <= max_bytes for row in found}
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= max_bytes
+    return fit_broadcast({"df": df}, max_bytes)["df"]
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,26 +81,33 @@ def load_table(
     during the load, so the files are read again only if there are any.
     """
     raw = read_raw(spark, table, path, loan_schema)
-    layout = LAYOUT.get(table, {})
+    # a file read without declared schema has the column only if it has such records
     if schemas.CORRUPT_COLUMN not in raw.columns:
-        seen = Observation()
-        counted = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
-        write_table(clean(table, counted), f"{root}/{table}", mode=mode, **layout)
-        return {"rows": seen.get["rows"], "rejected": 0}
+        raw = raw.withColumn(schemas.CORRUPT_COLUMN, F.lit(None).cast("string"))
+    rows_seen = F.count(F.lit(1)).alias("rows")
 
     seen = Observation()
-    counted = raw.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count(schemas.CORRUPT_COLUMN).alias("rejected"),
+    good, _ = split_corrupt(
+        raw.observe(seen, rows_seen, F.count(schemas.CORRUPT_COLUMN).alias("rejected"))
     )
-    good, _ = split_corrupt(counted)
-    write_table(clean(table, good), f"{root}/{table}", mode=mode, **layout)
-    found = seen.get
-    if found["rejected"]:
-        _, bad = split_corrupt(raw)
-        write_table(bad, f"{root}/rejected/{table}", mode=mode)
-    return {"rows": found["rows"] - found["rejected"], "rejected": found["rejected"]}
+    write_table(clean(table, good), f"{root}/{table}", mode=mode, **LAYOUT.get(table, {}))
+    try:
+        rejected = seen.get["rejected"]
+        rows = seen.get["rows"] - rejected
+    except Py4JJavaError:
+        # Adaptive execution drops the counting together with a shuffle that no row
+        # came through, so no row was written.
+        rows, rejected = 0, None
+
+    _, bad = split_corrupt(raw)
+    if rejected == 0:
+        if mode != "append":  # nothing kept from an earlier load
+            write_table(spark.createDataFrame([], bad.schema), f"{root}/rejected/{table}")
+    else:
+        kept = Observation()
+        write_table(bad.observe(kept, rows_seen), f"{root}/rejected/{table}", mode=mode)
+        rejected = kept.get["rows"]
+    return {"rows": rows, "rejected": rejected}
 
 
 def run_etl(
