@@ -12,10 +12,21 @@ def domain(df: DataFrame, values: str | Column, name: str | None = None) -> Data
     return df.select(column.alias(name) if name else column).distinct()
 
 
+def distinct_for_join(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct values of ``key`` as one column ``name``, to be joined with rows that
+    may have a hot key.
+
+    Plain ``distinct`` would lend its shuffle to the join, and adaptive execution
+    splits a hot key of one side only where both sides have a shuffle made for the
+    join. The second column keeps the two shuffles apart; the distinct values of the
+    second one are few compared with the rows.
+    """
+    keys = df.select(F.col(key).alias(name))
+    return keys.withColumn("_apart", F.xxhash64(name)).distinct().select(name)
+
+
 def _matched(requests: DataFrame, key: str, known: DataFrame, known_key: str, how: str):
-    # Distinct first: a value that fills the known side is combined before the
-    # shuffle, and the join uses the partitioning of the distinct.
-    side = domain(known, known_key, "_known")
+    side = distinct_for_join(known, known_key, "_known")
     return requests.join(side, requests[key] == side["_known"], how)
 
 

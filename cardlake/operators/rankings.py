@@ -70,23 +70,22 @@ def top_customer_breakdown(
 ) -> DataFrame:
     """Totals and shares per type of the customer with the largest total.
 
-    Transactions are read and shuffled once: both the ranking and the rows of
-    the best customer come from the totals per customer and type.
+    The best customer is found and used within one plan: its single row is
+    broadcast to a second read of the transactions, which shuffles only the totals
+    per type. Grouping by customer and type at once would read them a single time,
+    but shuffle a total per customer and type of everyone.
     """
-    per_type = txn.groupBy(ssn_col, type_col).agg(F.sum(value_col).alias("total"))
     best = (
-        per_type.groupBy(F.col(ssn_col).alias("_best"))
-        .agg(F.sum("total").alias("_whole"))
+        txn.groupBy(F.col(ssn_col).alias("_best")).agg(F.sum(value_col).alias("_whole"))
         .orderBy(F.desc("_whole"), "_best").limit(1)
     )
-    # One row is broadcast. The join is null-safe and inner, as a null filter or a
-    # semi join would be pushed under one of the two uses of the shared shuffle.
-    rows = per_type.join(F.broadcast(best), per_type[ssn_col].eqNullSafe(best["_best"]))
+    rows = txn.join(F.broadcast(best), txn[ssn_col].eqNullSafe(best["_best"]))
+    totals = rows.groupBy(type_col, "_whole").agg(F.sum(value_col).alias("total"))
     share = F.try_divide(100 * F.col("total").cast("double"), F.col("_whole").cast("double"))
-    return rows.orderBy(F.desc("total"), type_col).select(
+    return totals.withColumn("_share", share).orderBy(F.desc("total"), type_col).select(
         type_col,
         rounded(F.col("total")).alias("total_amount"),
-        F.round(share, 1).alias("percentage"),
+        F.round("_share", 1).alias("percentage"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardlake.functions.dates import between_dates, in_month
 from cardlake.functions.text import ZIP_LENGTH, padded_zip
 from cardlake.operators.model import join_customer, matched_totals
+from cardlake.operators.ordering import in_order
 from cardlake.operators.sizing import MAX_BROADCAST_BYTES, broadcast_if_small
 
 # The columns each answer shows.
@@ -49,7 +50,7 @@ def transactions_by_zip_month(
         broadcast_if_small(branch.select("BRANCH_CODE"), max_broadcast_bytes), "BRANCH_CODE"
     )
     rows = join_customer(rows, living_there, max_broadcast_bytes)
-    return rows.select(*ZIP_MONTH_COLUMNS).orderBy(F.desc("TIMEID"), "TRANSACTION_ID")
+    return in_order(rows.select(*ZIP_MONTH_COLUMNS), F.desc("TIMEID"), "TRANSACTION_ID")
 
 
 def _count_and_total(totals: DataFrame, by: str) -> DataFrame:
@@ -94,9 +95,10 @@ def monthly_bill_lines(
     date_col: str | None = None,
 ) -> DataFrame:
     """Transactions of one card in one month, oldest first."""
-    return txn.filter(
+    rows = txn.filter(
         (F.col("CUST_CC_NO") == str(card)) & in_month(year, month, date_col=date_col)
-    ).orderBy("TIMEID", "TRANSACTION_ID")
+    )
+    return in_order(rows, "TIMEID", "TRANSACTION_ID")
 
 
 def monthly_bill_total(
@@ -126,6 +128,7 @@ def transactions_between_dates(
 ) -> DataFrame:
     """Transactions of one card from ``start`` to ``end``, both included."""
     day = F.col("TIMEID")
-    return txn.filter(
+    rows = txn.filter(
         (F.col("CUST_CC_NO") == str(card)) & between_dates(start, end, date_col=date_col)
-    ).orderBy(day.asc() if ascending else day.desc(), "TRANSACTION_ID")
+    )
+    return in_order(rows, day.asc() if ascending else day.desc(), "TRANSACTION_ID")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cardlake.functions import checks
 from cardlake.functions.text import capitalize_first, format_phone, title_case
+from cardlake.operators.lookups import distinct_for_join
 from cardlake.operators.sizing import MAX_BROADCAST_BYTES, broadcast_if_small, fits_broadcast
 
 # The details that can be edited, with their check.
@@ -66,13 +67,14 @@ def validate_changes(
     """
     asked = changes.select(F.col("SSN").alias("_ssn")).distinct()
     existing = customer.select(F.col("SSN").alias("_ssn"))
-    # A small batch goes to the customers, whose table then is not shuffled; the
-    # customers found are no more than the asked ones, so they fit as well.
-    small = fits_broadcast(asked, max_broadcast_bytes)
-    known = existing.join(F.broadcast(asked) if small else asked, "_ssn", "left_semi").distinct()
-    flagged = changes.join(
-        F.broadcast(known) if small else known, F.col("SSN") == F.col("_ssn"), "left"
-    )
+    if fits_broadcast(asked, max_broadcast_bytes):
+        # A small batch goes to the customers, whose table then is not shuffled; the
+        # customers found are no more than the asked ones, so they fit as well.
+        found = existing.join(F.broadcast(asked), "_ssn", "left_semi")
+        known = F.broadcast(found.distinct())
+    else:
+        known = distinct_for_join(existing, "_ssn", "_ssn")
+    flagged = changes.join(known, F.col("SSN") == F.col("_ssn"), "left")
     reason = (
         F.when(~F.coalesce(F.col("field").isin(list(EDITABLE)), F.lit(False)), UNKNOWN_FIELD)
         .when(F.col("_ssn").isNull(), UNKNOWN_SSN)

@@ -40,9 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_utc(c: Column) -> Column:
+    """Timestamp that shows as UTC in a session of any time zone."""
+    return F.to_utc_timestamp(c, F.current_timezone())
+
+
 def _updated(key: str) -> Column:
     """Update time as ISO text with an offset of four hours."""
-    local = F.timestamp_seconds(F.lit(1524070307) + F.col(key))
+    local = in_utc(F.timestamp_seconds(F.lit(1524070307) + F.col(key)))
     return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("-04:00"))
 
 

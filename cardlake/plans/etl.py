@@ -14,8 +14,12 @@ from cardlake.sources.readers import read_json_array, read_json_lines, read_tabl
 from cardlake.sources.writers import write_table
 
 TABLES = ["branch", "credit", "customer", "loan"]
-# How tables are kept: facts in one folder per month, by card within it.
-LAYOUT = {"credit": {"partition_by": ["txn_month"], "sort_by": ["CUST_CC_NO"]}}
+# How tables are kept: facts in one folder per month, by card within it; customers by
+# their key.
+LAYOUT = {
+    "credit": {"partition_by": ["txn_month"], "sort_by": ["CUST_CC_NO"]},
+    "customer": {"sort_by": ["SSN"]},
+}
 
 
 def clean_branch(raw: DataFrame) -> DataFrame:

@@ -99,12 +99,17 @@ def expression(name: str, table: str, key: str, value: Callable[[], Column], sql
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    """Decimals as double, dates and timestamps as text, for comparison."""
-    shown = {"decimal": "double", "date": "string", "timestamp": "string"}
-    return df.select(*[
-        F.col(c).cast(shown[t.split("(")[0]]).alias(c) if t.split("(")[0] in shown else F.col(c)
-        for c, t in df.dtypes
-    ])
+    """Decimals as double, dates and timestamps (in UTC) as text, for comparison."""
+
+    def shown(name: str, kind: str) -> Column:
+        column = F.col(name)
+        if kind.startswith("decimal"):
+            return column.cast("double").alias(name)
+        if kind == "timestamp":
+            return bank.in_utc(column).cast("string").alias(name)
+        return column.cast("string").alias(name) if kind == "date" else column
+
+    return df.select(*[shown(c, t) for c, t in df.dtypes])
 
 
 # --- Joined facts -------------------------------------------------------------
@@ -562,9 +567,9 @@ expression(
 expression(
     "parse_timestamp", "events", "event_id",
     lambda: F.date_format(
-        dates.parse_timestamp(
+        bank.in_utc(dates.parse_timestamp(
             F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("-04:00"))
-        ),
+        )),
         "yyyy-MM-dd HH:mm:ss.SSS",
     ),
     "strftime(ts + INTERVAL 4 HOUR, '%Y-%m-%d %H:%M:%S.%g')",
@@ -735,7 +740,7 @@ FROM cust LEFT JOIN ed ON cust.SSN = ed.SSN"""
 
 
 def _updated_customers(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    stamp = F.lit("2024-01-01T00:00:00Z").cast("timestamp")
     return updates.apply_updates(
         bank.customer(spark, sf_dir), updates.accepted(_validated(spark, sf_dir)), stamp, **options
     )
@@ -761,7 +766,7 @@ def publish_version(spark, sf_dir):
     valid = updates.validate_changes(
         updates.normalize_changes(bank.changes(spark, sf_dir)), before
     )
-    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    stamp = F.lit("2024-01-01T00:00:00Z").cast("timestamp")
     edited = updates.apply_updates(before, updates.accepted(valid), stamp)
     writers.publish_version(edited, root, "customer")
     return _plain(writers.read_latest(spark, root, "customer", schemas.CUSTOMER))

@@ -13,10 +13,12 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
+# For loads: larger pieces of a rebalanced table, hence fewer and larger files.
+LOAD_SETTINGS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m"}
 
 
-def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
-    for key, value in SETTINGS.items():
+def configure(builder: SparkSession.Builder, load: bool = False) -> SparkSession.Builder:
+    for key, value in (SETTINGS | (LOAD_SETTINGS if load else {})).items():
         builder = builder.config(key, value)
     return builder
 

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from cardlake.operators import model, rankings, reports, sizing
+from cardlake.operators import lookups, model, rankings, reports, sizing, updates
 from cardlake.plans import bank_views as bank
 from cardlake.plans.queries import QUERIES
 from cardlake.sources import schemas, writers
@@ -96,11 +96,25 @@ def test_rankings_keep_only_the_top_rows(name, spark, sf_dir, capsys):
     assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, sf_dir), capsys)
 
 
-def test_best_customer_shares_one_pass_over_the_facts(spark, sf_dir, capsys):
+def test_best_customer_is_one_broadcast_row(spark, sf_dir, capsys):
     text = executed(rankings.top_customer_breakdown(bank.txn(spark, sf_dir)), capsys)
-    assert "ReusedExchange" in text
-    facts = re.findall(r"FileScan parquet \[l_", text)
-    assert len(facts) == 1
+    assert "TakeOrderedAndProject(limit=1" in text
+    assert "SortMergeJoin" not in text
+    # the totals per customer, and those per type of the best one
+    shuffled = re.findall(r"hashpartitioning\((.*?), 8\)", text)
+    assert {re.sub(r"#\d+L?", "", s) for s in shuffled} == {
+        "CUST_SSN", "TRANSACTION_TYPE, _whole"
+    }
+
+
+@pytest.mark.parametrize("name", [
+    "monthly_bill_lines", "transactions_between_dates", "transactions_by_zip_month",
+])
+def test_rows_are_kept_before_a_global_sort(name, spark, sf_dir, capsys):
+    """The sampling of the sort reads shuffled rows, and not the sources again."""
+    text = plan(QUERIES[name](spark, sf_dir), capsys)
+    assert "REBALANCE_PARTITIONS_BY_NONE" in text
+    assert "rangepartitioning(TIMEID" in text
 
 
 def test_share_reuses_the_grouped_rows(spark, sf_dir, capsys):
@@ -140,16 +154,9 @@ def test_hot_customer_comes_to_the_join_as_a_few_rows(spark, capsys):
     assert sorted(map(tuple, large)) == [("Bills", 150_000, 1500.0), ("Gas", 150_000, 1500.0)]
 
 
-def test_adaptive_execution_splits_a_hot_customer_of_the_row_join(spark, tmp_path, capsys):
-    """Where rows cannot be summed first, the hot key's rows go to several tasks."""
-    path = str(tmp_path / "txn")
-    spark.range(0, 400_000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("CUST_SSN"),
-        F.sha2(F.col("id").cast("string"), 256).alias("note"),
-    ).write.parquet(path)
-    customer = spark.range(400_000).select(
-        F.col("id").alias("SSN"), F.sha2(F.col("id").cast("string"), 256).alias("name")
-    )
+@pytest.fixture
+def small_pieces(spark):
+    """Thresholds at which adaptive execution acts on test data."""
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
@@ -158,12 +165,46 @@ def test_adaptive_execution_splits_a_hot_customer_of_the_row_join(spark, tmp_pat
     }
     for key, value in changed.items():
         spark.conf.set(key, value)
-    try:
-        rows = model.join_customer(spark.read.parquet(path), customer, max_broadcast_bytes=0)
-        rows.write.format("noop").mode("overwrite").save()
-        found = rows.select("CUST_SSN", "name", "note")
-        text = executed(found, capsys)
-    finally:
-        for key in changed:
-            spark.conf.unset(key)
-    assert "skew=true" in text
+    yield
+    for key in changed:
+        spark.conf.unset(key)
+
+
+def hot_rows(spark, path, key, rest):
+    """400,000 rows, a third of them with key 1."""
+    spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias(key), *rest
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_hot_customer_of_the_row_join_is_split(spark, tmp_path, small_pieces, capsys):
+    """Where rows cannot be summed first, the hot key's rows go to several tasks."""
+    note = F.sha2(F.col("id").cast("string"), 256)
+    txn = hot_rows(spark, str(tmp_path / "txn"), "CUST_SSN", [note.alias("note")])
+    customer = spark.range(400_000).select(F.col("id").alias("SSN"), note.alias("name"))
+    rows = model.join_customer(txn, customer, max_broadcast_bytes=0)
+    assert "skew=true" in executed(rows.select("CUST_SSN", "name", "note"), capsys)
+
+
+@pytest.mark.parametrize("operator, rows", [
+    (lookups.known_keys, 400_000), (lookups.unknown_keys, 0)
+])
+def test_hot_request_is_split(operator, rows, spark, tmp_path, small_pieces, capsys):
+    note = F.sha2(F.col("id").cast("string"), 256)
+    requests = hot_rows(spark, str(tmp_path / "asked"), "k", [note.alias("note")])
+    known = hot_rows(spark, str(tmp_path / "known"), "v", [])
+    found = operator(requests, "k", known, "v")
+    assert "skew=true" in executed(found, capsys)
+    assert found.count() == rows
+
+
+def test_hot_customer_of_a_batch_of_edits_is_split(spark, tmp_path, small_pieces, capsys):
+    changes = hot_rows(spark, str(tmp_path / "changes"), "SSN", [
+        F.lit("CUST_CITY").alias("field"), F.col("id").alias("seq"),
+        F.regexp_replace(F.sha2(F.col("id").cast("string"), 256), "[0-9]", "").alias("new_value"),
+    ])
+    customer = spark.range(400_000).select(F.col("id").alias("SSN"))
+    valid = updates.validate_changes(changes, customer, max_broadcast_bytes=0)
+    assert "skew=true" in executed(valid, capsys)
+    assert updates.accepted(valid).count() == 400_000
