@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Noting the call site of every column expression takes milliseconds each, most
+    # of the time it takes to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 # For loads: larger pieces of a rebalanced table, hence fewer and larger files.
 LOAD_SETTINGS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m"}

@@ -1,0 +1,180 @@
+"""Operators on random small tables, against plain Python loops."""
+
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+from decimal import Decimal
+
+import pytest
+
+from cardlake.operators import loans, lookups, model, rankings, reports, updates
+from cardlake.sources import schemas
+
+TYPES = ["Bills", "Gas", "Healthcare", None]
+SEEDS = [1, 2, 3]
+
+
+def random_bank(spark, seed):
+    """Keys repeat, are null, or have no partner; a third of the rows share one customer."""
+    r = random.Random(seed)
+    txn = []
+    for i in range(400):
+        day = dt.date(2017, 12, 1) + dt.timedelta(days=r.randrange(70))
+        ssn = 1 if r.random() < 0.33 else r.choice([*range(1, 30), None])
+        value = None if r.random() < 0.05 else Decimal(r.randrange(-500, 100_000)) / 100
+        txn.append((
+            str(4000 + (ssn or 0)), f"{day:%Y%m%d}", day, ssn, r.choice([1, 2, 3, 4, 9, None]), i,
+            r.choice(TYPES), value, f"{day:%Y%m}",
+        ))
+    customer = [(s, f"4{s:03d}", f"{s % 4:05d}") for s in [*range(1, 25), 7, 7]]
+    branch = [(1, "MN"), (2, "NJ"), (3, "MN"), (4, None), (4, "NJ")]
+    return txn, customer, branch, (
+        spark.createDataFrame(txn, schemas.CREDIT),
+        spark.createDataFrame(customer, "SSN BIGINT, CREDIT_CARD_NO STRING, CUST_ZIP STRING"),
+        spark.createDataFrame(branch, "BRANCH_CODE BIGINT, BRANCH_STATE STRING"),
+    )
+
+
+def pairs(txn, customer, branch):
+    for t in txn:
+        for c in customer:
+            for b in branch:
+                if t[3] == c[0] and t[4] == b[0] and t[3] is not None:
+                    yield t, c, b
+
+
+def totals(rows):
+    """Count of values and exact total per key; a group without values has no total."""
+    groups = defaultdict(list)
+    for key, value in rows:
+        groups[key].append(value)
+    return {
+        k: (sum(v is not None for v in vs),
+            sum(v for v in vs if v is not None) if any(v is not None for v in vs) else None)
+        for k, vs in groups.items()
+    }
+
+
+def found_totals(df):
+    return {r[0]: (r["n"], r["total"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_matched_totals(spark, seed, limit):
+    txn, customer, branch, (t, c, b) = random_bank(spark, seed)
+    all_pairs = list(pairs(txn, customer, branch))
+    for by, key in [
+        ("TRANSACTION_TYPE", lambda p: p[0][6]), ("BRANCH_STATE", lambda p: p[2][1]),
+        ("BRANCH_CODE", lambda p: p[0][4]),
+    ]:
+        found = model.matched_totals(t, c, b, by, max_broadcast_bytes=limit)
+        assert found_totals(found) == totals((key(p), p[0][7]) for p in all_pairs)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_row_reports(spark, seed, limit):
+    txn, customer, branch, (t, c, b) = random_bank(spark, seed)
+    found = reports.transactions_by_zip_month(t, c, b, 1, 1, 2018, max_broadcast_bytes=limit)
+    rows = [(r["TIMEID"], r["TRANSACTION_ID"]) for r in found.collect()]
+    expected = [
+        (p[0][1], p[0][5]) for p in pairs(txn, customer, branch)
+        if p[1][2] == "00001" and p[0][1].startswith("201801")
+    ]
+    assert rows == sorted(expected, key=lambda x: (-int(x[0]), x[1]))
+    found = reports.transactions_between_dates(t, "4001", "2017-12-15", "1/10/2018").collect()
+    assert [(r["TIMEID"], r["TRANSACTION_ID"]) for r in found] == sorted(
+        (x[1], x[5]) for x in txn if x[0] == "4001" and "20171215" <= x[1] <= "20180110"
+    )
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_rankings(spark, seed):
+    txn, _, _, (t, _, _) = random_bank(spark, seed)
+    per_customer = totals((x[3], x[7]) for x in txn)
+    ranked = sorted(
+        per_customer.items(), key=lambda kv: (kv[1][1] is None, -(kv[1][1] or 0), kv[0] or 0)
+    )
+    top = rankings.top_customers(t, 5).collect()
+    assert [r["total_amount"] for r in top] == [float(v[1]) for _, v in ranked[:5]]
+    best, (_, whole) = ranked[0]
+    expected = totals((x[6], x[7]) for x in txn if x[3] == best)
+    breakdown = {r[0]: (r[1], r[2]) for r in rankings.top_customer_breakdown(t).collect()}
+    assert breakdown == {
+        k: (float(v), pytest.approx(float(100 * v / whole), abs=0.0501))
+        for k, (_, v) in expected.items()
+    }
+    months = Counter(x[8] for x in txn if x[7] is not None)
+    top = rankings.top_months(t, 2).collect()
+    assert [(r[0], r[1]) for r in top] == [
+        (f"{m[4:]}/{m[:4]}", n) for m, n in sorted(months.items(), key=lambda x: (-x[1], x[0]))[:2]
+    ]
+    bills = reports.monthly_bills(t).collect()
+    assert {(r[0], r[1]): (r[2], r[3]) for r in bills} == {
+        k: (n, None if v is None else float(v))
+        for k, (n, v) in totals(((x[0], x[8]), x[7]) for x in txn).items()
+    }
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_membership(spark, seed):
+    r = random.Random(seed)
+    asked = [(i, 1 if r.random() < 0.33 else r.choice([*range(20), None])) for i in range(200)]
+    known = [(1 if r.random() < 0.33 else r.choice([*range(0, 30, 2), None]),) for _ in range(200)]
+    a = spark.createDataFrame(asked, "i INT, k INT")
+    b = spark.createDataFrame(known, "k INT")
+    values = {k for (k,) in known if k is not None}
+    assert sorted(x["i"] for x in lookups.known_keys(a, "k", b, "k").collect()) == [
+        i for i, k in asked if k in values
+    ]
+    assert sorted(x["i"] for x in lookups.unknown_keys(a, "k", b, "k").collect()) == [
+        i for i, k in asked if k not in values
+    ]
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_updates(spark, seed, limit):
+    r = random.Random(seed)
+    old = dt.datetime(2018, 4, 18)
+    people = {s: {f: f"{f[:3]}{s}" for f in updates.EDITABLE} for s in range(20)}
+    columns = [f.split(" ")[0] for f in schemas.CUSTOMER.split(", ")]
+    customer = spark.createDataFrame(
+        [tuple({"SSN": s, "LAST_UPDATED": old, "CREDIT_CARD_NO": "4", **p}[c] for c in columns)
+         for s, p in people.items()], schemas.CUSTOMER,
+    )
+    edits = [
+        (1 if r.random() < 0.33 else r.randrange(25), r.choice([*updates.EDITABLE, "SHOE_SIZE"]),
+         r.choice(["Lake", "12345", "ab", "1234567890", "a@b.cd", "x!", None]), seq)
+        for seq in range(150)
+    ]
+    valid = updates.validate_changes(
+        updates.normalize_changes(spark.createDataFrame(edits, schemas.CHANGES)), customer, limit
+    )
+    good = updates.accepted(valid)
+    assert good.count() + updates.quarantined(valid).count() == len(edits)
+    changed = set()
+    for row in sorted(good.collect(), key=lambda x: x["seq"]):
+        people[row["SSN"]][row["field"]] = row["new_value"]
+        changed.add(row["SSN"])
+    found = updates.apply_updates(customer, good, max_broadcast_bytes=limit).collect()
+    assert {x["SSN"]: {f: x[f] for f in updates.EDITABLE} for x in found} == people
+    assert {x["SSN"] for x in found if x["LAST_UPDATED"] != old} == changed
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_status_percentages(spark, seed):
+    r = random.Random(seed)
+    rows = [(r.choice(["Y", "N", "P", None]), r.choice(["Yes", "No", None])) for _ in range(100)]
+    loan = spark.createDataFrame(rows, "Application_Status STRING, Self_Employed STRING")
+    segment = [s for s, e in rows if e == "Yes"]
+    labels = {"Y": "Approved", "N": "Not Approved", "P": "P", None: None}
+    found = loans.status_percentages(loan, loans.self_employed()).collect()
+    assert {x[0]: (x[1], x[2]) for x in found} == {
+        labels[s]: (
+            segment.count(s) if s else 0,
+            pytest.approx(100 * (segment.count(s) if s else 0) / len(segment), abs=0.00501),
+        )
+        for s in set(segment)
+    }
