@@ -55,18 +55,25 @@ def clean_customer(raw: DataFrame) -> DataFrame:
     }).drop("APT_NO", "STREET_NAME")
 
 
+RAW_SCHEMAS = {
+    "branch": schemas.RAW_BRANCH, "credit": schemas.RAW_CREDIT, "customer": schemas.RAW_CUSTOMER,
+}
+TABLE_SCHEMAS = {
+    "branch": schemas.BRANCH, "credit": schemas.CREDIT, "customer": schemas.CUSTOMER,
+}
+
+
 def read_raw(
-    spark: SparkSession, table: str, path: str | list[str], loan_schema: str | None = None
+    spark: SparkSession, table: str, path: str | list[str], schema: str | None = None
 ) -> DataFrame:
-    """Raw records of one of the four tables."""
+    """Raw records of one of the four tables.
+
+    A schema of the caller's may name more columns than the usual ones; cleaning
+    keeps them. Loans without a schema keep all columns of the files.
+    """
     if table == "loan":
-        return read_json_array(spark, path, loan_schema)
-    declared = {
-        "branch": schemas.RAW_BRANCH,
-        "credit": schemas.RAW_CREDIT,
-        "customer": schemas.RAW_CUSTOMER,
-    }
-    return read_json_lines(spark, path, declared[table])
+        return read_json_array(spark, path, schema)
+    return read_json_lines(spark, path, schema or RAW_SCHEMAS[table])
 
 
 def clean(table: str, raw: DataFrame) -> DataFrame:
@@ -77,62 +84,61 @@ def clean(table: str, raw: DataFrame) -> DataFrame:
 
 def load_table(
     spark: SparkSession, table: str, path: str | list[str], root: str, mode: str = "overwrite",
-    loan_schema: str | None = None,
+    schema: str | None = None,
 ) -> dict[str, int]:
-    """Load one table into ``root/table`` and return its row counts.
+    """Load one table into ``root/table``; return how many rows it then has.
 
-    Records that do not parse go to ``root/rejected/table``. They are counted
-    during the load, so the files are read again only if there are any.
+    Records that do not parse go to ``root/rejected/table``, counted as well. The
+    load notes whether there are any, so only then are the files read again. The
+    counts are of the stored tables: what is noted on the way counts the records of
+    a lost executor twice.
     """
-    raw = read_raw(spark, table, path, loan_schema)
+    raw = read_raw(spark, table, path, schema)
     # a file read without declared schema has the column only if it has such records
     if schemas.CORRUPT_COLUMN not in raw.columns:
         raw = raw.withColumn(schemas.CORRUPT_COLUMN, F.lit(None).cast("string"))
-    rows_seen = F.count(F.lit(1)).alias("rows")
-
     seen = Observation()
     good, _ = split_corrupt(
-        raw.observe(seen, rows_seen, F.count(schemas.CORRUPT_COLUMN).alias("rejected"))
+        raw.observe(seen, F.count(schemas.CORRUPT_COLUMN).alias("rejected"))
     )
-    write_table(clean(table, good), f"{root}/{table}", mode=mode, **LAYOUT.get(table, {}))
+    cleaned = clean(table, good)
+    write_table(cleaned, f"{root}/{table}", mode=mode, **LAYOUT.get(table, {}))
     try:
-        rejected = seen.get["rejected"]
-        rows = seen.get["rows"] - rejected
+        any_rejected = seen.get["rejected"] > 0
     except Py4JJavaError:
-        # Adaptive execution drops the counting together with a shuffle that no row
-        # came through, so no row was written.
-        rows, rejected = 0, None
+        # Adaptive execution drops the note together with a shuffle that no row came
+        # through.
+        any_rejected = True
 
     _, bad = split_corrupt(raw)
-    if rejected == 0:
-        if mode != "append":  # nothing kept from an earlier load
-            write_table(spark.createDataFrame([], bad.schema), f"{root}/rejected/{table}")
-    else:
-        kept = Observation()
-        write_table(bad.observe(kept, rows_seen), f"{root}/rejected/{table}", mode=mode)
-        rejected = kept.get["rows"]
-    return {"rows": rows, "rejected": rejected}
+    if not any_rejected:
+        bad = spark.createDataFrame([], bad.schema)
+    write_table(bad, f"{root}/rejected/{table}", mode=mode)
+    return {
+        "rows": read_table(spark, f"{root}/{table}", cleaned.schema).count(),
+        "rejected": read_table(spark, f"{root}/rejected/{table}", bad.schema).count(),
+    }
 
 
 def run_etl(
     spark: SparkSession, paths: Mapping[str, str | list[str]], root: str,
-    mode: str = "overwrite", loan_schema: str | None = None,
+    mode: str = "overwrite", raw_schemas: Mapping[str, str] | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Load the tables named in ``paths`` (of branch, credit, customer, loan).
+    """Load the tables named in ``paths`` (of branch, credit, customer, loan); return
+    the row counts of each.
 
     With the default mode a rerun gives the same warehouse; ``append`` adds the
-    records again.
+    records again, ``replace_partitions`` replaces the months that are brought.
     """
     return {
-        table: load_table(spark, table, paths[table], root, mode, loan_schema)
+        table: load_table(spark, table, paths[table], root, mode, (raw_schemas or {}).get(table))
         for table in TABLES
         if table in paths
     }
 
 
-def open_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A loaded table, with its declared types."""
-    declared = {
-        "branch": schemas.BRANCH, "credit": schemas.CREDIT, "customer": schemas.CUSTOMER,
-    }
-    return read_table(spark, f"{root}/{table}", declared.get(table))
+def open_table(
+    spark: SparkSession, root: str, table: str, schema: str | None = None
+) -> DataFrame:
+    """A loaded table, with its declared types, or those of the caller's schema."""
+    return read_table(spark, f"{root}/{table}", schema or TABLE_SCHEMAS.get(table))

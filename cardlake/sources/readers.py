@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cardlake.sources.schemas import CORRUPT_COLUMN
 
@@ -35,7 +36,9 @@ def read_json_array(
     return _json(spark, schema).option("multiLine", True).json(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: str | StructType | None = None
+) -> DataFrame:
     """Parquet table. With a schema, partition values keep their declared type."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cardlake.operators import loans, lookups, model, rankings, reports
 from cardlake.plans.etl import open_table, run_etl
+from cardlake.sources import schemas
 from cardlake.sources.writers import read_latest
 from tests import bank_data
 
@@ -222,10 +223,21 @@ def test_load_again(spark, tmp_path):
     run_etl(spark, paths, root)
     assert open_table(spark, root, "credit").count() == 9
     assert open_table(spark, root, "customer").count() == 4
-    run_etl(spark, {"credit": paths["credit"]}, root, mode="append")
+    counts = run_etl(spark, {"credit": paths["credit"]}, root, mode="append")
+    assert counts == {"credit": {"rows": 18, "rejected": 0}}
     assert open_table(spark, root, "credit").count() == 18
 
 
+def test_more_columns_are_kept_when_declared(spark, tmp_path):
+    records = [r | {"CHANNEL": "web"} for r in bank_data.CREDITS]
+    path, root = bank_data.write_lines(tmp_path / "credit.json", records), str(tmp_path / "w")
+    declared = {"credit": schemas.RAW_CREDIT + ", CHANNEL STRING"}
+    run_etl(spark, {"credit": path}, root, raw_schemas=declared)
+    found = open_table(spark, root, "credit", schemas.CREDIT + ", CHANNEL STRING")
+    assert rows(found.groupBy("CHANNEL").count()) == [("web", 9)]
+    assert "CHANNEL" not in open_table(spark, root, "credit").columns
+
+
 def test_replacing_months_leaves_the_others(spark, tmp_path):
     paths, root = bank_data.write_bank(tmp_path), str(tmp_path / "warehouse")
     run_etl(spark, {"credit": paths["credit"]}, root)
@@ -244,6 +256,8 @@ def test_records_that_do_not_parse_are_kept_aside(spark, tmp_path):
     assert open_table(spark, root, "credit").count() == 9
     bad = spark.read.parquet(f"{root}/rejected/credit")
     assert [r["_corrupt_record"] for r in bad.collect()] == ['{"YEAR": 2018, "MONTH"']
+    path = bank_data.write_lines(tmp_path / "credit.json", bank_data.CREDITS)
+    assert run_etl(spark, {"credit": path}, root) == {"credit": {"rows": 9, "rejected": 0}}
 
 
 @pytest.mark.parametrize("table", ["credit", "customer"])
