@@ -20,8 +20,33 @@ SETTINGS = {
 LOAD_SETTINGS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m"}
 
 
-def configure(builder: SparkSession.Builder, load: bool = False) -> SparkSession.Builder:
-    for key, value in (SETTINGS | (LOAD_SETTINGS if load else {})).items():
+# For inputs of this size and more, scan tasks take larger pieces.
+_LARGE_INPUT = 10 * 1024**4
+
+
+def sized(input_bytes: int) -> dict[str, str]:
+    """Settings that follow the size of the input.
+
+    Adaptive execution merges shuffle partitions that are small, but does not cut
+    ones that are all too large: their number at the start has to fit the data. One
+    per 512 MB of input leaves pieces an executor holds, as a shuffle is narrower
+    than the input; the upper bound keeps the count of blocks in hand.
+    """
+    partitions = min(max(200, -(-input_bytes // (512 << 20))), 30_000)
+    settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
+    if input_bytes >= _LARGE_INPUT:
+        settings["spark.sql.files.maxPartitionBytes"] = "512m"
+    return settings
+
+
+def configure(
+    builder: SparkSession.Builder, load: bool = False, input_bytes: int | None = None
+) -> SparkSession.Builder:
+    """Put the settings on a session builder; ``input_bytes`` is the size of the tables."""
+    settings = SETTINGS | (LOAD_SETTINGS if load else {})
+    if input_bytes is not None:
+        settings |= sized(input_bytes)
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder
 

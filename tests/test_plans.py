@@ -63,6 +63,18 @@ def test_month_folder_is_pruned_and_card_is_pushed(spark, sf_dir, tmp_path, caps
     assert re.search(r"GreaterThanOrEqual\(TIMEID,19980402\)", text)
 
 
+def test_zip_reaches_the_scan_of_customers(spark, sf_dir, tmp_path, capsys):
+    path = str(tmp_path / "customer")
+    writers.write_table(bank.customer(spark, sf_dir), path, sort_by=["SSN"])
+    stored = read_table(spark, path, schemas.CUSTOMER)
+    text = plan(reports.transactions_by_zip_month(
+        bank.txn(spark, sf_dir), stored, bank.branch(spark, sf_dir), 7, 4, 1998
+    ), capsys)
+    assert "EqualTo(CUST_ZIP,00007)" in text
+    text = plan(reports.account_details(stored, 7), capsys)
+    assert "EqualTo(SSN,7)" in text
+
+
 def test_small_dimensions_are_broadcast(spark, sf_dir, capsys):
     text = plan(QUERIES["branch_state_totals"](spark, sf_dir), capsys)
     assert "SortMergeJoin" not in text

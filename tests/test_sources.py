@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardlake.plans.session import scratch_folder
+from cardlake.plans.session import configure, scratch_folder, sized
 from cardlake.sources import readers, writers
 
 
@@ -128,3 +128,31 @@ def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_folder(spark), scratch_folder(spark)
     assert first.startswith(shared + "/") and first != second
+
+
+def test_settings_follow_the_size_of_the_input():
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert sized(1 << 30) == {key: "200"}
+    assert sized(1 << 40) == {key: "2048"}
+    assert sized(100 << 40) == {key: "30000", "spark.sql.files.maxPartitionBytes": "512m"}
+
+    class Builder(dict):
+        def config(self, key, value):
+            self[key] = value
+            return self
+
+    plain, load = configure(Builder()), configure(Builder(), load=True, input_bytes=1 << 40)
+    assert plain["spark.sql.adaptive.skewJoin.enabled"] == "true" and key not in plain
+    assert load[key] == "2048"
+    assert load["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "512m"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    with pytest.raises(ValueError):
+        scratch_folder(Cluster())
