@@ -12,13 +12,21 @@ from pyspark.sql.types import BinaryType, StringType
 # A broadcast table is held whole by the driver and by every executor.
 MAX_BROADCAST_BYTES = 64 << 20
 _FIXED_WIDTH = 16
+# Text columns from which on a table counts as wide.
+_WIDE = 4
+
+
+def _row_bytes(df: DataFrame) -> int:
+    return _FIXED_WIDTH * (1 + len(df.columns))
+
+
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
 
 
 def _measure(df: DataFrame) -> DataFrame:
-    texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
-    per_row = _FIXED_WIDTH * (1 + len(df.columns))
-    size = F.count(F.lit(1)) * per_row
-    for name in texts:
+    size = F.count(F.lit(1)) * _row_bytes(df)
+    for name in _texts(df):
         size = size + F.coalesce(F.sum(F.octet_length(F.col(name))), F.lit(0))
     return df.agg(size.alias("bytes"))
 
@@ -26,7 +34,7 @@ def _measure(df: DataFrame) -> DataFrame:
 def fit_broadcast(
     dimensions: Mapping[str, DataFrame], max_bytes: int = MAX_BROADCAST_BYTES
 ) -> dict[str, bool]:
-    """Which dimensions are small, measured by one aggregation over all of them."""
+    """Which dimensions are small, from one job that reads their columns once."""
     if max_bytes <= 0:
         return dict.fromkeys(dimensions, False)
     sizes = [_measure(df).withColumn("name", F.lit(name)) for name, df in dimensions.items()]
@@ -45,6 +53,12 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
     adaptive execution then splits a hot key of the large side.
 
     Spark's own estimate of a joined dimension is the product of its inputs, so
-    without the measure a small one would make the facts shuffle.
+    without the measure a small one would make the facts shuffle. The rows of a wide
+    ``df`` are counted first, which reads no column of a stored table: its texts are
+    measured only where there are few.
     """
+    if max_bytes <= 0:
+        return df
+    if len(_texts(df)) > _WIDE and df.count() * _row_bytes(df) > max_bytes:
+        return df
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df

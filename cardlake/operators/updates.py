@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cardlake.functions import checks
 from cardlake.functions.text import capitalize_first, format_phone, title_case
 from cardlake.operators.lookups import distinct_for_join
-from cardlake.operators.sizing import MAX_BROADCAST_BYTES, broadcast_if_small, fits_broadcast
+from cardlake.operators.sizing import MAX_BROADCAST_BYTES, fits_broadcast
 
 # The details that can be edited, with their check.
 EDITABLE = {
@@ -121,7 +121,8 @@ def apply_updates(
     Only changed customers get the new ``LAST_UPDATED``.
     """
     latest = latest_values(changes).withColumnRenamed("SSN", "_ssn")
-    latest = broadcast_if_small(latest, max_broadcast_bytes)
+    if fits_broadcast(latest, max_broadcast_bytes):
+        latest = F.broadcast(latest)
     edited = customer.join(latest, customer["SSN"] == latest["_ssn"], "left")
     stamp = F.current_timestamp() if updated_at is None else updated_at
     values = {name: F.coalesce(F.col(f"_{name}"), F.col(name)) for name in EDITABLE}

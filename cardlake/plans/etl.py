@@ -128,7 +128,8 @@ def run_etl(
     the row counts of each.
 
     With the default mode a rerun gives the same warehouse; ``append`` adds the
-    records again, ``replace_partitions`` replaces the months that are brought.
+    records again, ``replace_partitions`` replaces the months that are brought, and
+    the tables without months whole.
     """
     return {
         table: load_table(spark, table, paths[table], root, mode, (raw_schemas or {}).get(table))

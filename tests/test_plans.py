@@ -144,6 +144,15 @@ def test_size_check(spark):
     assert sizes == {"a": False, "b": True}
 
 
+@pytest.mark.parametrize("texts", [1, 8])
+def test_broadcast_only_if_small(spark, texts, capsys):
+    df = spark.range(100).select("id", *[F.lit("x" * 50).alias(f"t{i}") for i in range(texts)])
+    row = 16 * (2 + texts) + 50 * texts
+    for limit, hinted in [(100 * row, True), (100 * row - 1, False), (10, False), (0, False)]:
+        sizing.broadcast_if_small(df, limit).explain("extended")
+        assert ("ResolvedHint" in capsys.readouterr().out) == hinted
+
+
 def test_hot_customer_comes_to_the_join_as_a_few_rows(spark, capsys):
     """A third of all transactions are of one customer."""
     txn = spark.range(0, 300_000, 1, 8).select(
