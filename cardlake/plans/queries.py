@@ -866,7 +866,8 @@ def etl_credit(spark, sf_dir):
     return _plain(_loaded(spark, "credit", path))
 
 
-@query("etl_customer", f"WITH {_CUST} SELECT {', '.join(_CUSTOMER_COLUMNS)}, LAST_UPDATED FROM cust")
+@query("etl_customer", f"""WITH {_CUST}
+SELECT {', '.join(_CUSTOMER_COLUMNS)}, LAST_UPDATED FROM cust""")
 def etl_customer(spark, sf_dir):
     path = _staged(spark, bank.raw_customer(spark, sf_dir))
     return _plain(_loaded(spark, "customer", path))
