@@ -10,6 +10,8 @@ def test_entry_has_rows_and_a_stable_schema(spark):
     assert first.count() > 0
 
 
-def test_queries_and_sql_go_together():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+def test_core_queries_and_sql_go_together():
+    assert entry.registered.QUERIES.keys() == entry.registered.SQL.keys()
+    assert entry.registered.QUERIES.keys() <= entry.queries().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
     assert all(callable(q) for q in entry.queries().values())
