@@ -75,3 +75,14 @@ def let(value: Column, body) -> Column:
 def shuffle_partitions(spark: SparkSession, rows: int, rows_each: int) -> int:
     """Partitions for a shuffle of ``rows`` rows, ``rows_each`` in one at most on average."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_each))
+
+
+def id_remainder(doc_id: str, divisor: int) -> Column:
+    """CRC-32 of the id as text modulo ``divisor``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % divisor
+
+
+def in_sample(doc_id: str, share: Column | float, salt: int = 0) -> Column:
+    """Whether a row is in a sample of about ``share``, by hash of its id."""
+    place = F.pmod(F.xxhash64(F.col(doc_id), F.lit(salt)), F.lit(1 << 30)) / (1 << 30)
+    return place < share

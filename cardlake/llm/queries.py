@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardlake.llm import exact_dedup, line_dedup, quality_rules, sharding
+from cardlake.llm import (
+    bpe_automaton, exact_dedup, language_id, line_dedup, packing, quality_classifier,
+    quality_rules, sharding,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +24,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer file of the installed package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -37,6 +47,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_duplicates(table(spark, sf_dir, "documents")).drop("row")
 
 
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 # DuckDB has no CRC-32: its table of 256 values is made by the polynomial, and the
 # bytes of a text are folded through it.
 @query("op3_sharding", r"""
@@ -72,6 +87,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))
 
 
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
+
+
+@query("op7_bpe_automaton")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.code_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
