@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardlake.llm import (
-    bpe_automaton, exact_dedup, language_id, line_dedup, packing, quality_classifier,
-    quality_rules, sharding,
+    bpe_automaton, exact_dedup, language_id, line_dedup, near_dedup, packing,
+    quality_classifier, quality_rules, sharding,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_minhash_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("row")

@@ -1,26 +1,60 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept;
+all but the last return the columns of ``documents``. Between stages the rows are
+written as Parquet into the shared checkpoint folder and read again, so a stage reads
+files and a lost executor repeats one stage's tasks at most.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from cardlake.llm import exact_dedup, quality_rules
+from cardlake.llm import exact_dedup, language_id, near_dedup, packing, quality_rules
+from cardlake.llm.common import checkpoint_dir
+from cardlake.llm.queries import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents the quality rules reject."""
     return quality_rules.keep_good(docs)
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that are in no language learned."""
+    return language_id.keep_identified(docs)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return exact_dedup.drop_duplicates(docs)
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their ids, in sequences of 2048 tokens."""
+    return packing.pack(docs, tokenizer_path(), capacity=2048, with_ids=True)
+
+
+STAGES = [
+    ("quality_rules", quality), ("language_id", language), ("exact_dedup", exact),
+    ("near_dedup", near), ("packing", packed),
+]
+# Estimates, centroids and ids cannot be said in SQL: checked stage by stage in tests.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
