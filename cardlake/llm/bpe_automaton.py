@@ -200,7 +200,8 @@ class Encoder:
             return self.pieces.encode(text)
         return b"".join(map(self.pieces.__getitem__, WORDS.findall(text)))
 
-    def _plain(self, text: str) -> bytes:
+    def plain(self, text: str) -> bytes:
+        """Ids of a text in which strings of special tokens are ordinary text."""
         first, *others = text.split(" ")
         try:
             rest = b"".join(map(self.units.__getitem__, others))
@@ -212,10 +213,10 @@ class Encoder:
         """Ids of ``text`` as unsigned 32-bit little-endian integers."""
         splitter = self.automaton.splitter
         if splitter is None or not splitter.search(text):
-            return self._plain(text)
+            return self.plain(text)
         special = self.automaton.special
         return b"".join(
-            special[part].to_bytes(4, "little") if part in special else self._plain(part)
+            special[part].to_bytes(4, "little") if part in special else self.plain(part)
             for part in splitter.split(text))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,23 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session: tasks import it there."""
+    context = spark.sparkContext
+    if getattr(context, "_cardlake_sent", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="cardlake-"), "cardlake.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    whole = os.path.join(folder, name)
+                    archive.write(whole, os.path.relpath(whole, os.path.dirname(package)))
+    context.addPyFile(path)
+    context._cardlake_sent = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a local one only for a local master."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from cardlake.llm.bpe_automaton import slices
 from cardlake.llm.common import fresh, saved, text_or_empty, with_row, without_rows
 from cardlake.llm.components import components
+from cardlake.llm.hashing import STEPS, U, mixed, spans, times
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -32,12 +33,6 @@ ROUNDS = 3
 # Up to so many row numbers (8 bytes each) are broadcast.
 MAX_BROADCAST_ROWS = 4_000_000
 
-_U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15)
-_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_STEPS = [_U(c) for c in (
-    0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
-    0xE7037ED1A0B428DB)]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 # Bytes hashed at once.
@@ -45,37 +40,13 @@ _BLOCK = 1 << 20
 _BREAK = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _STEPS[0]
-    x = (x ^ (x >> _U(27))) * _STEPS[1]
-    return x ^ (x >> _U(31))
-
-
-def _times(step: int, number: int) -> np.uint64:
-    return _U(int(_STEPS[step]) * number & 0xFFFFFFFFFFFFFFFF)
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    steps = np.full(n + 1, base, _U)
-    steps[0] = 1
-    return np.cumprod(steps)
-
-
-_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
 def _block_hashes(block: bytes) -> np.ndarray:
     """A 64-bit hash of each word of some text, in order."""
     raw = np.frombuffer(block, np.uint8)
-    size = 1 << max(12, len(raw).bit_length())
-    if size not in _TABLES:
-        _TABLES[size] = _powers(_BASE, size), _powers(_INVERSE, size)
-    up, down = _TABLES[size]
     word = ~_SPACE[raw]
     edges = np.diff(np.concatenate(([False], word, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    sums = np.concatenate((np.zeros(1, _U), np.cumsum((raw.astype(_U) + _U(1)) * up[:len(raw)])))
-    return _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    return spans(raw, starts, ends)
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -98,9 +69,9 @@ def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     if not count:
         return words
     size = min(size, count)
-    total = np.zeros(count - size + 1, _U) + _U(size)
+    total = np.zeros(count - size + 1, U) + U(size)
     for place in range(size):
-        total = _mixed(total * _STEPS[place % 5] + words[place:place + count - size + 1])
+        total = mixed(total * STEPS[place % 5] + words[place:place + count - size + 1])
     return total
 
 
@@ -115,7 +86,7 @@ def weighted(hashes: np.ndarray, weight: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _uniform(x: np.ndarray) -> np.ndarray:
     """In (0, 1], from the upper 53 bits."""
-    return ((x >> _U(11)).astype(float) + 1.0) / (1 << 53)
+    return ((x >> U(11)).astype(float) + 1.0) / (1 << 53)
 
 
 def _darts(elements, weights, owner, limit):
@@ -131,18 +102,18 @@ def _darts(elements, weights, owner, limit):
         inside = weights > low
         if not inside.any():
             break
-        seed = _mixed(elements[inside] + _times(2, cell))
+        seed = mixed(elements[inside] + times(2, cell))
         own, weight = owner[inside], weights[inside]
         rank = np.zeros(len(seed))
         number = 0
         while len(seed):
-            draw = _mixed(seed + _times(3, number))
+            draw = mixed(seed + times(3, number))
             rank = rank - np.log(_uniform(draw)) / width
             on = rank <= limit[own]
             seed, own, weight, rank, draw = seed[on], own[on], weight[on], rank[on], draw[on]
-            dart = _mixed(draw ^ _STEPS[4])
+            dart = mixed(draw ^ STEPS[4])
             hit = low + width * _uniform(dart) <= weight
-            found.append((own[hit], rank[hit], _mixed(dart)[hit]))
+            found.append((own[hit], rank[hit], mixed(dart)[hit]))
             number += 1
         cell, low, width = cell + 1, low + width, max(1.0, low + width)
     return (np.concatenate([f[i] for f in found]) for i in range(3))
@@ -154,7 +125,7 @@ def dart_signatures(sets: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.nda
     Darts are thrown as far in rank as fills k coordinates nearly always; for sets with
     one left empty, twice as far again. An empty set has zeros.
     """
-    signatures = np.zeros((len(sets), k), _U)
+    signatures = np.zeros((len(sets), k), U)
     left = np.array([i for i, (e, _) in enumerate(sets) if len(e)], np.int64)
     reach = k * np.log(k) + 3 * k if k > 1 else 8.0
     while len(left):
@@ -164,10 +135,10 @@ def dart_signatures(sets: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.nda
         owner = np.repeat(np.arange(len(left)), sizes)
         limit = reach / np.array([sets[i][1].sum() for i in left])
         own, rank, dart = _darts(elements, weights, owner, limit)
-        place = own * k + ((dart >> _U(20)) % _U(k)).astype(np.int64)
+        place = own * k + ((dart >> U(20)) % U(k)).astype(np.int64)
         order = np.argsort(-rank, kind="stable")  # the earliest is written last
-        rows = np.zeros(len(left) * k, _U)
-        rows[place[order]] = dart[order] | _U(1)
+        rows = np.zeros(len(left) * k, U)
+        rows[place[order]] = dart[order] | U(1)
         rows = rows.reshape(len(left), k)
         full = (rows != 0).all(axis=1)
         signatures[left[full]] = rows[full]
@@ -178,9 +149,9 @@ def dart_signatures(sets: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.nda
 def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A 64-bit key for each band of each signature."""
     cut = signatures.reshape(len(signatures), bands, rows)
-    keys = np.zeros((len(signatures), bands), _U) + np.arange(1, bands + 1, dtype=_U)
+    keys = np.zeros((len(signatures), bands), U) + np.arange(1, bands + 1, dtype=U)
     for row in range(rows):
-        keys = _mixed(keys * _STEPS[row % 5] + cut[:, :, row])
+        keys = mixed(keys * STEPS[row % 5] + cut[:, :, row])
     return keys.view(np.int64)
 
 
@@ -218,9 +189,9 @@ def _shingle_sets(read: DataFrame, size: int, weight: str) -> DataFrame:
                     if weight == "count":
                         times = weights.astype(np.int64)
                         first = np.repeat(np.cumsum(times) - times, times)
-                        turn = (np.arange(times.sum()) - first).astype(_U)
-                        elements = _mixed(np.repeat(elements, times) + turn)
-                    packed.append(np.unique((elements >> _U(32)).astype("<u4")).tobytes())
+                        turn = (np.arange(times.sum()) - first).astype(U)
+                        elements = mixed(np.repeat(elements, times) + turn)
+                    packed.append(np.unique((elements >> U(32)).astype("<u4")).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [rows, pa.array(packed, pa.binary())], ["row", "shingles"])
 

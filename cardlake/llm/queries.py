@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardlake.llm import (
-    bpe_automaton, exact_dedup, language_id, line_dedup, near_dedup, packing,
-    quality_classifier, quality_rules, sharding,
+    bpe_automaton, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup,
+    packing, quality_classifier, quality_rules, sharding,
 )
+from cardlake.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -17,7 +18,11 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
         return function
@@ -92,6 +97,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
 
 
+@query("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.language_scores(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query("op7_bpe_automaton")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.code_digests(table(spark, sf_dir, "documents"), tokenizer_path())

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from cardlake.llm import exact_dedup, language_id, near_dedup, packing, quality_rules
-from cardlake.llm.common import checkpoint_dir
+from cardlake.llm.common import checkpoint_dir, ship
 from cardlake.llm.queries import tokenizer_path
 
 
@@ -24,21 +24,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that are in no language learned."""
+    ship(spark)
     return language_id.keep_identified(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    ship(spark)
     return exact_dedup.drop_duplicates(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
+    ship(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their ids, in sequences of 2048 tokens."""
+    ship(spark)
     return packing.pack(docs, tokenizer_path(), capacity=2048, with_ids=True)
 
 
