@@ -170,13 +170,14 @@ def _in_task(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _in_shard(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Live entries of a shard after its deletions and inserts, which come in this order."""
+    """Live entries of a shard after a batch: rows come as those that are live, deletions,
+    and inserts."""
     index = CuckooIndex()
     for batch in batches:
-        deleted = batch["op"] == DELETE
-        for digest in batch.loc[deleted, "digest"]:
+        _insert(index, batch[batch["op"] == LIVE])
+        for digest in batch.loc[batch["op"] == DELETE, "digest"]:
             index.delete(bytes(digest))
-        _insert(index, batch[~deleted])
+        _insert(index, batch[batch["op"] == INSERT])
     yield _shown(index.table(), index)
 
 
