@@ -47,7 +47,9 @@ def _groups(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     Words are runs of letters, with a space before and behind; a group never holds
     parts of two words.
     """
-    joined = np.frombuffer("\0".join([" " + t.lower() for t in texts]).encode("utf-32-le"), "<u4")
+    # An end behind each text; what a text itself has of that character is white space.
+    joined = "".join([" " + t.lower().replace("\0", " ") + "\0" for t in texts])
+    joined = np.frombuffer(joined.encode("utf-32-le"), "<u4")
     ends = joined == 0
     letter = _letter_table()[joined]
     code = np.where(letter, joined, 0).astype(np.uint32)
@@ -55,7 +57,7 @@ def _groups(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     keep = letter.copy()
     keep[:-1] |= letter[1:]
     keep |= ends
-    owner = np.cumsum(ends)[keep] if len(texts) > 1 else np.zeros(int(keep.sum()), np.int64)
+    owner = (np.cumsum(ends) - ends)[keep]
     code = code[keep]
     a, b = code[:-1], code[1:]
     mask = np.uint32(0xFFFFFFFF >> (32 - bits))
@@ -70,9 +72,9 @@ def _groups(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << bits
     place = np.concatenate([
         owner[1:][pair] * size + ((two[pair] >> shift) & mask),
-        owner[2:][triple] * size + ((three[triple] >> shift) & mask)])
+        owner[1:-1][triple] * size + ((three[triple] >> shift) & mask)])
     counts = np.bincount(place, minlength=len(texts) * size)
-    counts = counts[:len(texts) * size].reshape(len(texts), size)
+    counts = counts.reshape(len(texts), size)
     return counts.astype(np.float32), counts.any(axis=1)
 
 
@@ -235,9 +237,10 @@ def predicted(
     by name.
     """
     shared = spark.sparkContext.broadcast(model)
-    read = docs.select(*[F.col(f"`{c}`") for c in carried], text_or_empty(text).alias("_text"))
+    whole = fresh(docs, "whole_text")
+    read = docs.select(*[F.col(f"`{c}`") for c in carried], text_or_empty(text).alias(whole))
     new = {n: fresh(docs, n) for n in ("lang_pred", "score", "rejected")}
-    schema = read.drop("_text")
+    schema = read.drop(whole)
     for (name, kind) in zip(new.values(), ("string", "double", "boolean"), strict=True):
         schema = schema.withColumn(name, F.lit(None).cast(kind))
 
