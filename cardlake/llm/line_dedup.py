@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardlake.llm.common import saved
 
 # Elements after which a line ends; the others are part of it.
 BLOCKS = (
@@ -65,7 +66,8 @@ def drop_boilerplate(
         .join(totals, "host")
         .filter(F.col("with_line") > ratio * F.col("host_pages"))
         .groupBy("host").agg(F.collect_set("line").alias("boilerplate")))
-    sites = totals.join(boilerplate, "host", "left")
+    # Kept: then both sides of the last join are plain shuffles, which Spark can split.
+    sites = saved(totals.join(boilerplate, "host", "left"))
     known = F.coalesce("boilerplate", F.array().cast("array<binary>"))
     kept = F.filter("lines", lambda x: ~F.array_contains(F.col("known"), digest(x)))
     return (
