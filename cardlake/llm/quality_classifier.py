@@ -109,29 +109,33 @@ def train(
     The dictionaries come from about ``SAMPLE_ROWS`` rows of each label, taken by hash
     of the id, and of these up to ``SAMPLE_BYTES``; the line from about
     ``CALIBRATION_ROWS`` other rows in their natural mixture. Rows with a null text or
-    label are left out. With one label only, or none, all scores are that label's
-    smoothed share (0.5 for none).
+    label are left out. Without texts of both labels all scores are the smoothed
+    share of label 1 (0.5 where there is no label).
     """
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(quality).cast("int").alias("label"))
     known = known.filter("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg(
         F.max("label").alias("label"))
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     rows = sum(counts.values())
+    share = (counts.get(1, 0) + 1) / (rows + 2)
+    unskilled = QualityModel(b"", b"", (0.0, 0.0, float(np.log(share / (1 - share)))))
     if len(counts) < 2:
-        share = (counts.get(1, 0) + 1) / (rows + 2)
-        return QualityModel(b"", b"", (0.0, 0.0, float(np.log(share / (1 - share)))))
+        return unskilled
     share = F.when(F.col("label") == 1, F.lit(min(0.5, SAMPLE_ROWS / counts[1]))).otherwise(
         F.lit(min(0.5, SAMPLE_ROWS / counts[0])))
     # What the dictionaries do not take, in the same shares of both labels.
     for_line = ~in_sample("doc_id", share) & in_sample("doc_id", CALIBRATION_ROWS / rows, salt=1)
     chosen = known.withColumn("made", in_sample("doc_id", share)).filter(F.col("made") | for_line)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sample = saved(texts.join(chosen, "doc_id").filter(F.col("text").isNotNull()))
+    # A broadcast of some ids and labels: their number is bounded by the sample's.
+    sample = saved(texts.join(F.broadcast(chosen), "doc_id").filter(F.col("text").isNotNull()))
     # The sample is bounded in rows; this bounds its bytes.
     so_far = F.sum(F.octet_length("text")).over(
         Window.partitionBy("made", "label").orderBy(F.xxhash64("doc_id"), "doc_id"))
     bounded = sample.withColumn("so_far", so_far).filter(F.col("so_far") <= SAMPLE_BYTES).collect()
     made = {k: sorted(r["text"] for r in bounded if r["made"] and r["label"] == k) for k in (0, 1)}
+    if not (made[0] and made[1]):
+        return unskilled
     model = QualityModel(_dictionary(made[1]), _dictionary(made[0]), (0.0, 0.0, 0.0))
     compressors = _Compressors((model.good, model.bad))
     others = [r for r in bounded if not r["made"]] or bounded
