@@ -23,7 +23,10 @@ _DATE_ARGUMENT = re.compile(
 
 
 def compose_timeid(year: Column, month: Column, day: Column) -> Column:
-    return F.concat(year.cast("string"), zero_pad(month, 2), zero_pad(day, 2))
+    """Day key; null where year, month or day is out of range, as a longer or shorter
+    one would be taken for another month's."""
+    in_range = year.between(1000, 9999) & month.between(1, 12) & day.between(1, 31)
+    return F.when(in_range, F.concat(year.cast("string"), zero_pad(month, 2), zero_pad(day, 2)))
 
 
 def timeid_date(timeid: Column) -> Column:
@@ -90,16 +93,18 @@ def date_argument(value: dt.date | str) -> dt.date:
 
 def in_month(
     year: int | str, month: int | str,
-    month_col: str = "txn_month", date_col: str | None = None,
+    month_col: str | None = "txn_month", date_col: str | None = None,
+    timeid_col: str = "TIMEID",
 ) -> Column:
     """Rows of one month.
 
-    On a table partitioned by ``month_col`` this prunes folders. ``date_col``
+    On a table partitioned by ``month_col`` this prunes folders. Without one the
+    month is the beginning of the day key ``timeid_col``. ``date_col``
     names a date that is known for every row; its range is added so that the
     scan of an unpartitioned table can skip row groups too.
     """
     key = month_argument(year, month)
-    rows = F.col(month_col) == key
+    rows = F.col(month_col) == key if month_col else F.col(timeid_col).startswith(key)
     if date_col:
         first = dt.date(int(key[:4]), int(key[4:]), 1)
         last = first.replace(day=calendar.monthrange(first.year, first.month)[1])

@@ -18,8 +18,11 @@ STATUS_LABELS = {"Y": "Approved", "N": "Not Approved"}
 
 # Letters with case. Other letters (for example CJK) do not continue a word.
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
-# U+FFFF is a noncharacter, so it does not occur in interchanged text.
-_WORD_MARK = "\uffff "
+# U+FFFF is a noncharacter; where a text has it all the same, a dot is set behind it, so
+# that it is never taken for the mark.
+_MARK = "\uffff"
+_WORD_MARK = _MARK + " "
+_OWN_MARK = _MARK + "."
 
 
 def title_case(c: Column) -> Column:
@@ -28,13 +31,21 @@ def title_case(c: Column) -> Column:
     ``initcap`` starts a word only after a space, so every other word start gets a
     marked space first, which is taken out again afterwards.
     """
-    marked = F.regexp_replace(c, f"([^{_CASED} ])(?=[{_CASED}])", "$1" + _WORD_MARK)
-    return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
+    kept = F.replace(c, F.lit(_MARK), F.lit(_OWN_MARK))
+    marked = F.regexp_replace(kept, f"([^{_CASED} ])(?=[{_CASED}])", "$1" + _WORD_MARK)
+    titled = F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
+    return F.replace(titled, F.lit(_OWN_MARK), F.lit(_MARK))
 
 
 def capitalize_first(c: Column) -> Column:
-    """First character in title case, the rest lower case."""
-    return F.concat(F.initcap(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
+    """First character in title case, the rest lower case.
+
+    The whole text is lowered and then cut, as the form of a letter can depend on those
+    before it.
+    """
+    first = F.substring(c, 1, 1)
+    rest = F.substr(F.lower(c), F.length(F.lower(first)) + 1)
+    return F.concat(F.initcap(first), rest)
 
 
 def zero_pad(c: Column, width: int) -> Column:
@@ -44,8 +55,8 @@ def zero_pad(c: Column, width: int) -> Column:
 
 
 def padded_zip(c: Column) -> Column:
-    """Zip code as text, with lost leading zeros put back; null stays null."""
-    return zero_pad(c, ZIP_LENGTH)
+    """Zip code as text, with lost leading zeros put back; null and empty give null."""
+    return zero_pad(F.nullif(c.cast("string"), F.lit("")), ZIP_LENGTH)
 
 
 def default_zip(c: Column) -> Column:

@@ -33,6 +33,7 @@ def transactions_by_zip_month(
     txn: DataFrame, customer: DataFrame, branch: DataFrame,
     zip_code: int | str, month: int | str, year: int | str,
     date_col: str | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    month_col: str | None = "txn_month",
 ) -> DataFrame:
     """Transactions in a month by customers living in a zip area, newest first.
 
@@ -43,7 +44,7 @@ def transactions_by_zip_month(
     living_there = customer.filter(F.col("CUST_ZIP") == wanted).select(
         "SSN", "CREDIT_CARD_NO", "CUST_ZIP"
     )
-    rows = txn.filter(in_month(year, month, date_col=date_col)).select(
+    rows = txn.filter(in_month(year, month, month_col, date_col)).select(
         "CUST_SSN", "BRANCH_CODE", "TIMEID", "TRANSACTION_ID", "TRANSACTION_TYPE",
         "TRANSACTION_VALUE",
     )
@@ -93,22 +94,25 @@ def account_details(customer: DataFrame, ssn: int | str) -> DataFrame:
 
 def monthly_bill_lines(
     txn: DataFrame, card: int | str, month: int | str, year: int | str,
-    date_col: str | None = None,
+    date_col: str | None = None, month_col: str | None = "txn_month",
 ) -> DataFrame:
-    """Transactions of one card in one month, oldest first."""
+    """Transactions of one card in one month, oldest first.
+
+    Here and below ``month_col`` is None for a table without that column.
+    """
     rows = txn.filter(
-        (F.col("CUST_CC_NO") == str(card)) & in_month(year, month, date_col=date_col)
+        (F.col("CUST_CC_NO") == str(card)) & in_month(year, month, month_col, date_col)
     )
     return in_order(rows, "TIMEID", "TRANSACTION_ID")
 
 
 def monthly_bill_total(
     txn: DataFrame, card: int | str, month: int | str, year: int | str,
-    date_col: str | None = None,
+    date_col: str | None = None, month_col: str | None = "txn_month",
 ) -> DataFrame:
     """Total of one bill, always one row; null when there are no transactions."""
     return txn.filter(
-        (F.col("CUST_CC_NO") == str(card)) & in_month(year, month, date_col=date_col)
+        (F.col("CUST_CC_NO") == str(card)) & in_month(year, month, month_col, date_col)
     ).agg(rounded(F.sum("TRANSACTION_VALUE")).alias("total_bill"))
 
 
@@ -126,10 +130,11 @@ def monthly_bills(
 def transactions_between_dates(
     txn: DataFrame, card: int | str, start: dt.date | str, end: dt.date | str,
     ascending: bool = True, date_col: str | None = None,
+    month_col: str | None = "txn_month",
 ) -> DataFrame:
     """Transactions of one card from ``start`` to ``end``, both included."""
     day = F.col("TIMEID")
     rows = txn.filter(
-        (F.col("CUST_CC_NO") == str(card)) & between_dates(start, end, date_col=date_col)
+        (F.col("CUST_CC_NO") == str(card)) & between_dates(start, end, month_col=month_col, date_col=date_col)
     )
     return in_order(rows, day.asc() if ascending else day.desc(), "TRANSACTION_ID")

@@ -58,16 +58,29 @@ def _value_is_valid() -> Column:
     return result
 
 
+def small_batch(changes: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a raw batch may be broadcast, as its customers and as their new values.
+
+    Counted once, before any checking, and given to ``validate_changes`` and
+    ``apply_updates``: the customers asked for and the values accepted are no more than
+    the batch has, each customer's as one row with a column for each detail.
+    """
+    wide = [F.lit(0).cast("bigint")] * len(EDITABLE)
+    return fits_broadcast(changes.select("SSN", "new_value", *wide), max_broadcast_bytes)
+
+
 def validate_changes(
-    changes: DataFrame, customer: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+    changes: DataFrame, customer: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add ``reason``: null for a change that can be applied.
 
-    Changes come normalised. An accepted phone number is formatted.
+    Changes come normalised. An accepted phone number is formatted. ``small`` is the
+    answer of ``small_batch``, asked here where it is not given.
     """
     asked = changes.select(F.col("SSN").alias("_ssn")).distinct()
     existing = customer.select(F.col("SSN").alias("_ssn"))
-    if fits_broadcast(asked, max_broadcast_bytes):
+    if small_batch(changes, max_broadcast_bytes) if small is None else small:
         # A small batch goes to the customers, whose table then is not shuffled; the
         # customers found are no more than the asked ones, so they fit as well.
         found = existing.join(F.broadcast(asked), "_ssn", "left_semi")
@@ -114,14 +127,16 @@ def latest_values(changes: DataFrame) -> DataFrame:
 
 def apply_updates(
     customer: DataFrame, changes: DataFrame, updated_at: Column | None = None,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES, small: bool | None = None,
 ) -> DataFrame:
     """Customers with the accepted changes applied, the last one per field winning.
 
-    Only changed customers get the new ``LAST_UPDATED``.
+    Only changed customers get the new ``LAST_UPDATED``. ``small`` is the answer of
+    ``small_batch`` for the raw batch: without it the accepted changes are run once
+    more to measure them.
     """
     latest = latest_values(changes).withColumnRenamed("SSN", "_ssn")
-    if fits_broadcast(latest, max_broadcast_bytes):
+    if small_batch(changes, max_broadcast_bytes) if small is None else small:
         latest = F.broadcast(latest)
     edited = customer.join(latest, customer["SSN"] == latest["_ssn"], "left")
     stamp = F.current_timestamp() if updated_at is None else updated_at

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Callable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -11,16 +12,51 @@ from pyspark.sql import functions as F
 from cardlake.functions import dates, text
 from cardlake.sources import schemas
 from cardlake.sources.readers import read_json_array, read_json_lines, read_table, split_corrupt
-from cardlake.sources.writers import write_table
+from cardlake.sources.writers import ensure_database, save_as_table, write_jdbc, write_table
 
 TABLES = ["branch", "credit", "customer", "loan"]
-# How tables are kept: facts in one folder per month, by card within it; customers by
-# their key.
+# How tables are kept: facts in one folder per month, in files that hold ranges of cards
+# (of a card with very many transactions, ranges of these); customers in ranges of their key.
 LAYOUT = {
-    "credit": {"partition_by": ["txn_month"], "sort_by": ["CUST_CC_NO"]},
-    "customer": {"sort_by": ["SSN"]},
+    "credit": {
+        "partition_by": ["txn_month"], "cluster_by": ["CUST_CC_NO", "TRANSACTION_ID"],
+        "sort_by": ["CUST_CC_NO", "TRANSACTION_ID"],
+    },
+    "customer": {"cluster_by": ["SSN"], "sort_by": ["SSN"]},
 }
 
+# Takes a cleaned table, its name and the mode, stores it, and gives it back as stored,
+# or None where it cannot be read back.
+Sink = Callable[[DataFrame, str, str], DataFrame | None]
+
+
+def path_sink(root: str) -> Sink:
+    """Parquet tables below a folder."""
+    def store(df: DataFrame, table: str, mode: str) -> DataFrame:
+        write_table(df, f"{root}/{table}", mode=mode, **LAYOUT.get(table, {}))
+        return read_table(df.sparkSession, f"{root}/{table}", df.schema)
+    return store
+
+
+def catalog_sink(database: str, location: str | None = None) -> Sink:
+    """Tables of a catalog database, which is made if need be."""
+    def store(df: DataFrame, table: str, mode: str) -> DataFrame:
+        ensure_database(df.sparkSession, database, location)
+        quoted = database.replace("`", "``")
+        name = f"`{quoted}`.`{table}`"
+        save_as_table(df, name, mode=mode, **LAYOUT.get(table, {}))
+        return df.sparkSession.table(name)
+    return store
+
+
+def jdbc_sink(url: str, properties: dict[str, str] | None = None, **options) -> Sink:
+    """Tables of a database; further fields go as JSON text."""
+    def store(df: DataFrame, table: str, mode: str) -> None:
+        if schemas.OTHER_FIELDS in df.columns:
+            df = df.withColumn(schemas.OTHER_FIELDS, F.to_json(schemas.OTHER_FIELDS))
+        write_jdbc(df, url, table, properties, mode=mode, **options)
+    return store
+
 
 def clean_branch(raw: DataFrame) -> DataFrame:
     return raw.withColumns({
@@ -57,6 +93,7 @@ def clean_customer(raw: DataFrame) -> DataFrame:
 
 RAW_SCHEMAS = {
     "branch": schemas.RAW_BRANCH, "credit": schemas.RAW_CREDIT, "customer": schemas.RAW_CUSTOMER,
+    "loan": schemas.RAW_LOAN,
 }
 TABLE_SCHEMAS = {
     "branch": schemas.BRANCH, "credit": schemas.CREDIT, "customer": schemas.CUSTOMER,
@@ -69,11 +106,10 @@ def read_raw(
     """Raw records of one of the four tables.
 
     A schema of the caller's may name more columns than the usual ones; cleaning
-    keeps them. Loans without a schema keep all columns of the files.
+    keeps them. Fields that it does not name come in the map ``other_fields``.
     """
-    if table == "loan":
-        return read_json_array(spark, path, schema)
-    return read_json_lines(spark, path, schema or RAW_SCHEMAS[table])
+    read = read_json_array if table == "loan" else read_json_lines
+    return read(spark, path, schema or RAW_SCHEMAS[table])
 
 
 def clean(table: str, raw: DataFrame) -> DataFrame:
@@ -82,64 +118,88 @@ def clean(table: str, raw: DataFrame) -> DataFrame:
     return steps[table](raw) if table in steps else raw
 
 
+def _any_rejected(seen: Observation) -> bool:
+    try:
+        return seen.get["rejected"] > 0
+    except Py4JJavaError as e:
+        # Adaptive execution drops the note together with a shuffle that no row came
+        # through: nothing is known then. Other failures are not for here.
+        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return True
+
+
+def load_name(path: str | list[str]) -> str:
+    """What a load's rejects are kept under: the same for the same files."""
+    paths = [path] if isinstance(path, str) else sorted(path)
+    return hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
+
+
 def load_table(
     spark: SparkSession, table: str, path: str | list[str], root: str, mode: str = "overwrite",
-    schema: str | None = None,
-) -> dict[str, int]:
-    """Load one table into ``root/table``; return how many rows it then has.
-
-    Records that do not parse go to ``root/rejected/table``, counted as well. The
-    load notes whether there are any, so only then are the files read again. The
-    counts are of the stored tables: what is noted on the way counts the records of
-    a lost executor twice.
+    schema: str | None = None, load: str | None = None, sink: Sink | None = None,
+) -> dict[str, int | None]:
+    """Load one table into ``root/table``, or to another ``sink``; return how many rows it
+    then has, and of this load how many records were rejected.
+
+    Records that do not parse go to ``root/rejected/table/load=...``: under the name of
+    the load, by default that of its files, so a load that is run again replaces its own
+    and no other's. The load notes whether there are any, so only then are the files
+    read again. Transactions without a valid day are kept with null keys and counted as
+    ``undated``. The counts are of the stored tables: what is noted on the way counts
+    the records of a lost executor twice.
     """
     raw = read_raw(spark, table, path, schema)
-    # a file read without declared schema has the column only if it has such records
-    if schemas.CORRUPT_COLUMN not in raw.columns:
-        raw = raw.withColumn(schemas.CORRUPT_COLUMN, F.lit(None).cast("string"))
     seen = Observation()
     good, _ = split_corrupt(
         raw.observe(seen, F.count(schemas.CORRUPT_COLUMN).alias("rejected"))
     )
-    cleaned = clean(table, good)
-    write_table(cleaned, f"{root}/{table}", mode=mode, **LAYOUT.get(table, {}))
-    try:
-        any_rejected = seen.get["rejected"] > 0
-    except Py4JJavaError:
-        # Adaptive execution drops the note together with a shuffle that no row came
-        # through.
-        any_rejected = True
-
+    stored = (sink or path_sink(root))(clean(table, good), table, mode)
     _, bad = split_corrupt(raw)
-    if not any_rejected:
+    if not _any_rejected(seen):
         bad = spark.createDataFrame([], bad.schema)
-    write_table(bad, f"{root}/rejected/{table}", mode=mode)
-    return {
-        "rows": read_table(spark, f"{root}/{table}", cleaned.schema).count(),
-        "rejected": read_table(spark, f"{root}/rejected/{table}", bad.schema).count(),
+    rejects = f"{root}/rejected/{table}/load={load or load_name(path)}"
+    write_table(bad, rejects)
+    counts = {
+        "rows": None if stored is None else stored.count(),
+        "rejected": read_table(spark, rejects, bad.schema).count(),
     }
+    if table == "credit" and stored is not None:
+        counts["undated"] = stored.filter(F.col("txn_month").isNull()).count()
+    return counts
 
 
 def run_etl(
     spark: SparkSession, paths: Mapping[str, str | list[str]], root: str,
     mode: str = "overwrite", raw_schemas: Mapping[str, str] | None = None,
-) -> dict[str, dict[str, int]]:
+    sink: Sink | None = None,
+) -> dict[str, dict[str, int | None]]:
     """Load the tables named in ``paths`` (of branch, credit, customer, loan); return
     the row counts of each.
 
     With the default mode a rerun gives the same warehouse; ``append`` adds the
     records again, ``replace_partitions`` replaces the months that are brought, and
-    the tables without months whole.
+    the tables without months whole. ``sink`` takes the tables elsewhere than below
+    ``root``: see ``catalog_sink`` and ``jdbc_sink``.
     """
     return {
-        table: load_table(spark, table, paths[table], root, mode, (raw_schemas or {}).get(table))
+        table: load_table(
+            spark, table, paths[table], root, mode, (raw_schemas or {}).get(table), sink=sink)
         for table in TABLES
         if table in paths
     }
 
 
 def open_table(
-    spark: SparkSession, root: str, table: str, schema: str | None = None
+    spark: SparkSession, root: str, table: str, schema: str | None = None,
+    other_fields: bool = False,
 ) -> DataFrame:
-    """A loaded table, with its declared types, or those of the caller's schema."""
-    return read_table(spark, f"{root}/{table}", schema or TABLE_SCHEMAS.get(table))
+    """A loaded table, with its declared types, or those of the caller's schema.
+
+    ``other_fields`` adds the map of the fields that the declared schema does not name;
+    loans have it always.
+    """
+    schema = schema or TABLE_SCHEMAS.get(table)
+    if schema and other_fields:
+        schema += f", {schemas.OTHER_FIELDS} MAP<STRING, STRING>"
+    return read_table(spark, f"{root}/{table}", schema)

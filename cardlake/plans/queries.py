@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cardlake.functions import checks, dates, text
 from cardlake.operators import loans, lookups, model, rankings, reports, updates
 from cardlake.plans import bank_views as bank
-from cardlake.plans.etl import load_table, open_table, read_raw
+from cardlake.plans.etl import LAYOUT, load_table, open_table, read_raw
 from cardlake.plans.session import scratch_folder
 from cardlake.sources import schemas, writers
 from cardlake.sources.readers import read_table, split_corrupt
@@ -50,7 +50,7 @@ _CUST = """cust AS (
     replace(lower(c_name),'#','.') || '@x.com' AS CUST_EMAIL,
     c_name || ' Road, ' || CAST(nullif(c_custkey % 50, 0) AS VARCHAR) AS FULL_STREET_ADDRESS,
     n_name AS CUST_CITY, n_name AS CUST_STATE, r_name AS CUST_COUNTRY,
-    strftime(TIMESTAMP '2018-04-18 20:51:47' + to_seconds(c_custkey), '%Y-%m-%d %H:%M:%S')
+    strftime(TIMESTAMP '2021-09-05 12:15:30' + to_seconds(c_custkey), '%Y-%m-%d %H:%M:%S')
       AS LAST_UPDATED
   FROM customer JOIN nation ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey)"""
@@ -63,7 +63,7 @@ _BRANCH = """branch AS (
       ELSE lpad(CAST(s_suppkey % 10 * 1000 + s_suppkey AS VARCHAR), 5, '0') END AS BRANCH_ZIP,
     CASE WHEN s_suppkey % 2 = 0 THEN CAST(1234000000 + s_suppkey*37 AS VARCHAR)
       ELSE CAST(1237000 + s_suppkey AS VARCHAR) END AS phone,
-    strftime(TIMESTAMP '2018-04-18 20:51:47' + to_seconds(s_suppkey), '%Y-%m-%d %H:%M:%S')
+    strftime(TIMESTAMP '2021-09-05 12:15:30' + to_seconds(s_suppkey), '%Y-%m-%d %H:%M:%S')
       AS LAST_UPDATED
   FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
 _LOAN = """loan AS (
@@ -115,17 +115,17 @@ def _plain(df: DataFrame) -> DataFrame:
 # --- Joined facts -------------------------------------------------------------
 
 
-@query("joined", f"""WITH {_JOINED}
-SELECT CREDIT_CARD_NO, SSN, TIMEID, txn_month, TRANSACTION_ID, TRANSACTION_TYPE,
-  CAST(v AS DOUBLE) AS TRANSACTION_VALUE, CUST_ZIP, CUST_STATE, BRANCH_CODE, BRANCH_STATE
-FROM joined""")
+@query("joined", f"""WITH {_TXN}, {_CUST}, {_BRANCH}
+SELECT c.*EXCLUDE (LAST_UPDATED), c.LAST_UPDATED AS CUST_LAST_UPDATED, TIMEID,
+  substr(TIMEID,1,4) || '-' || substr(TIMEID,5,2) || '-' || substr(TIMEID,7,2) AS txn_date,
+  txn_month, TRANSACTION_ID, TRANSACTION_TYPE, CAST(v AS DOUBLE) AS TRANSACTION_VALUE,
+  b.BRANCH_CODE, BRANCH_NAME, BRANCH_STREET, BRANCH_CITY, BRANCH_STATE, BRANCH_ZIP,
+  {_BRANCH_PHONE} AS BRANCH_PHONE, b.LAST_UPDATED AS BRANCH_LAST_UPDATED
+FROM txn t JOIN cust c ON t.CUST_SSN = c.SSN JOIN branch b ON t.BRANCH_CODE = b.BRANCH_CODE""")
 def joined(spark, sf_dir):
-    rows = model.joined(
+    """All columns of the three tables."""
+    return _plain(model.joined(
         bank.txn(spark, sf_dir), bank.customer(spark, sf_dir), bank.branch(spark, sf_dir)
-    )
-    return _plain(rows.select(
-        "CREDIT_CARD_NO", "SSN", "TIMEID", "txn_month", "TRANSACTION_ID", "TRANSACTION_TYPE",
-        "TRANSACTION_VALUE", "CUST_ZIP", "CUST_STATE", "BRANCH_CODE", "BRANCH_STATE",
     ))
 
 
@@ -256,6 +256,54 @@ def monthly_bill_total(spark, sf_dir):
     )
 
 
+def _no_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as a table without month and date columns."""
+    return bank.txn(spark, sf_dir).drop("txn_month", bank.DATE_COL)
+
+
+_BARE_COLUMNS = _TXN_COLUMNS.removesuffix(", txn_month")
+
+
+@query("monthly_bill_lines_no_month", f"""WITH {_TXN}
+SELECT {_BARE_COLUMNS} FROM txn
+WHERE CUST_CC_NO = '{CARD}' AND TIMEID LIKE '199804%' ORDER BY TIMEID, TRANSACTION_ID""")
+def monthly_bill_lines_no_month(spark, sf_dir):
+    return _plain(reports.monthly_bill_lines(
+        _no_month(spark, sf_dir), CARD, MONTH, YEAR, month_col=None
+    ))
+
+
+@query("monthly_bill_total_no_month", f"""WITH {_TXN}
+SELECT CAST(round(sum(v), 2) AS DOUBLE) AS total_bill FROM txn
+WHERE CUST_CC_NO = '{CARD}' AND TIMEID LIKE '199804%'""")
+def monthly_bill_total_no_month(spark, sf_dir):
+    return reports.monthly_bill_total(
+        _no_month(spark, sf_dir), CARD, MONTH, YEAR, month_col=None
+    )
+
+
+@query("transactions_between_dates_no_month", f"""WITH {_TXN}
+SELECT {_BARE_COLUMNS} FROM txn
+WHERE CUST_CC_NO = '{CARD}' AND TIMEID >= '19970201' AND TIMEID <= '19981231'
+ORDER BY TIMEID, TRANSACTION_ID""")
+def transactions_between_dates_no_month(spark, sf_dir):
+    return _plain(reports.transactions_between_dates(
+        _no_month(spark, sf_dir), CARD, "2/1/1997", "1998-12-31", month_col=None
+    ))
+
+
+@query("transactions_by_zip_month_no_month", f"""WITH {_JOINED}
+SELECT CREDIT_CARD_NO, TIMEID, TRANSACTION_ID, TRANSACTION_TYPE,
+  CAST(v AS DOUBLE) AS TRANSACTION_VALUE, CUST_ZIP
+FROM joined WHERE CUST_ZIP = '00007' AND TIMEID LIKE '199804%'
+ORDER BY TIMEID DESC, TRANSACTION_ID""")
+def transactions_by_zip_month_no_month(spark, sf_dir):
+    return _plain(reports.transactions_by_zip_month(
+        _no_month(spark, sf_dir), bank.customer(spark, sf_dir), bank.branch(spark, sf_dir),
+        ZIP, MONTH, YEAR, month_col=None,
+    ))
+
+
 @query("monthly_bills", f"""WITH {_TXN}
 SELECT CUST_CC_NO, txn_month, count(v) AS total_number,
   CAST(round(sum(v), 2) AS DOUBLE) AS total_bill
@@ -426,18 +474,26 @@ def domain_ssn(spark, sf_dir):
 def _membership(operator, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by whether their customer is one with a positive balance."""
     known = bank.table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
-    requests = bank.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    requests = bank.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.expr("nullif(o_custkey, o_orderkey % 100)").alias("o_custkey")
+    )
     return operator(requests, "o_custkey", known, "c_custkey")
 
 
-@query("known_keys", """SELECT o_orderkey, o_custkey FROM orders
+_REQUESTS = """WITH asked AS (
+  SELECT o_orderkey, nullif(o_custkey, o_orderkey % 100) AS o_custkey FROM orders)
+SELECT o_orderkey, o_custkey FROM asked
+"""
+
+
+@query("known_keys", _REQUESTS + """
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
 def known_keys(spark, sf_dir):
     return _membership(lookups.known_keys, spark, sf_dir)
 
 
-@query("unknown_keys", """SELECT o_orderkey, o_custkey FROM orders
-WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
+@query("unknown_keys", _REQUESTS + """
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_acctbal > 0 AND c_custkey = o_custkey)""")
 def unknown_keys(spark, sf_dir):
     return _membership(lookups.unknown_keys, spark, sf_dir)
 
@@ -510,8 +566,11 @@ expression(
 )
 expression(
     "zip_number", "customer", "c_custkey",
-    lambda: text.zip_number(F.substring(F.col("c_name"), 14, 5)),
-    "TRY_CAST(substr(c_name, 14, 5) AS INTEGER)",
+    lambda: text.zip_number(F.when(
+        F.col("c_custkey") % 4 != 0, F.substring(F.col("c_name"), 14, 5)
+    ).otherwise(F.substring(F.col("c_name"), 7, 5))),
+    "CASE WHEN c_custkey % 4 <> 0 THEN TRY_CAST(substr(c_name, 14, 5) AS INTEGER) "
+    "ELSE TRY_CAST(substr(c_name, 7, 5) AS INTEGER) END",
 )
 expression(
     "zero_pad", "orders", "o_orderkey", lambda: text.zero_pad(F.col("o_custkey") % 1000, 2),
@@ -526,12 +585,22 @@ expression(
     lambda: text.label_status(F.col("o_orderstatus"), {"F": "Finished", "O": "Open"}),
     "CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' ELSE o_orderstatus END",
 )
+def _timeid_parts() -> list[Column]:
+    """Year, month and day of an order, some of them out of range."""
+    key = F.col("o_orderkey")
+    return [
+        F.when(key % 11 == 0, 18).otherwise(F.year("o_orderdate")),
+        F.when(key % 7 == 0, F.month("o_orderdate") + 111).when(key % 13 == 0, 0)
+        .when(key % 19 == 0, 13).otherwise(F.month("o_orderdate")),
+        F.when(key % 17 == 0, 234).when(key % 23 == 0, 0).otherwise(F.dayofmonth("o_orderdate")),
+    ]
+
+
 expression(
-    "compose_timeid", "orders", "o_orderkey",
-    lambda: dates.compose_timeid(
-        F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate")
-    ),
-    "strftime(o_orderdate, '%Y%m%d')",
+    "compose_timeid", "orders", "o_orderkey", lambda: dates.compose_timeid(*_timeid_parts()),
+    "CASE WHEN NOT (o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR "
+    "o_orderkey % 17 = 0 OR o_orderkey % 19 = 0 OR o_orderkey % 23 = 0) "
+    "THEN strftime(o_orderdate, '%Y%m%d') END",
 )
 expression(
     "timeid_date", "orders", "o_orderkey",
@@ -610,8 +679,8 @@ expression(
 )
 expression(
     "valid_name", "orders", "o_orderkey",
-    lambda: checks.valid_name(F.substr("o_orderpriority", F.lit(2))),
-    r"regexp_full_match(substr(o_orderpriority, 2), '[\p{L}\- ]*')",
+    lambda: checks.valid_name(F.substr("o_orderpriority", F.col("o_custkey").cast("int") % 2 + 1)),
+    r"regexp_full_match(substr(o_orderpriority, o_custkey % 2 + 1), '[\p{L}\- ]*')",
 )
 expression(
     "valid_name_text", "documents", "doc_id", lambda: checks.valid_name(F.col("text")),
@@ -700,9 +769,10 @@ validated AS (SELECT SSN, field, seq, reason,
     ELSE nv END AS new_value FROM val)"""
 
 
-def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _validated(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return updates.validate_changes(
-        updates.normalize_changes(bank.changes(spark, sf_dir)), bank.customer(spark, sf_dir)
+        updates.normalize_changes(bank.changes(spark, sf_dir)), bank.customer(spark, sf_dir),
+        **options,
     )
 
 
@@ -741,9 +811,9 @@ FROM cust LEFT JOIN ed ON cust.SSN = ed.SSN"""
 
 def _updated_customers(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     stamp = F.lit("2024-01-01T00:00:00Z").cast("timestamp")
-    return updates.apply_updates(
-        bank.customer(spark, sf_dir), updates.accepted(_validated(spark, sf_dir)), stamp, **options
-    )
+    options["small"] = updates.small_batch(bank.changes(spark, sf_dir), **options)
+    changes = updates.accepted(_validated(spark, sf_dir, **options))
+    return updates.apply_updates(bank.customer(spark, sf_dir), changes, stamp, **options)
 
 
 @query("apply_updates", _UPDATED)
@@ -763,11 +833,12 @@ def publish_version(spark, sf_dir):
     root = scratch_folder(spark)
     writers.publish_version(bank.customer(spark, sf_dir), root, "customer")
     before = writers.read_latest(spark, root, "customer", schemas.CUSTOMER)
+    small = updates.small_batch(bank.changes(spark, sf_dir))
     valid = updates.validate_changes(
-        updates.normalize_changes(bank.changes(spark, sf_dir)), before
+        updates.normalize_changes(bank.changes(spark, sf_dir)), before, small=small
     )
     stamp = F.lit("2024-01-01T00:00:00Z").cast("timestamp")
-    edited = updates.apply_updates(before, updates.accepted(valid), stamp)
+    edited = updates.apply_updates(before, updates.accepted(valid), stamp, small=small)
     writers.publish_version(edited, root, "customer")
     return _plain(writers.read_latest(spark, root, "customer", schemas.CUSTOMER))
 
@@ -775,6 +846,14 @@ def publish_version(spark, sf_dir):
 # --- Sources, sinks and the load ----------------------------------------------
 
 
+_LOAN_SCHEMA = f"Application_ID BIGINT, {schemas.RAW_LOAN}"
+
+
+def _good(raw: DataFrame) -> DataFrame:
+    """Records that parsed, of files without further fields."""
+    return split_corrupt(raw)[0].drop(schemas.OTHER_FIELDS)
+
+
 def _staged(spark: SparkSession, df: DataFrame) -> str:
     path = f"{scratch_folder(spark)}/raw"
     df.write.json(path)
@@ -804,14 +883,15 @@ def _loaded(spark: SparkSession, table: str, path: str) -> DataFrame:
 _RAW_BRANCH_SQL = f"""WITH {_BRANCH}
 SELECT BRANCH_CODE, BRANCH_NAME, BRANCH_STREET, BRANCH_CITY, BRANCH_STATE,
   CASE WHEN s.k % 10 <> 0 THEN CAST(s.k % 10 * 1000 + s.k AS VARCHAR) END AS BRANCH_ZIP,
-  phone AS BRANCH_PHONE
+  phone AS BRANCH_PHONE,
+  strftime(CAST(LAST_UPDATED AS TIMESTAMP) - INTERVAL 4 HOUR, '%Y-%m-%dT%H:%M:%S')
+    || '.000-04:00' AS LAST_UPDATED
 FROM branch JOIN (SELECT s_suppkey AS k FROM supplier) s ON s.k = BRANCH_CODE"""
 
 
 @query("read_branch_json", _RAW_BRANCH_SQL)
 def read_branch_json(spark, sf_dir):
-    raw = read_raw(spark, "branch", _staged(spark, bank.raw_branch(spark, sf_dir)))
-    return split_corrupt(raw)[0].drop("LAST_UPDATED")
+    return _good(read_raw(spark, "branch", _staged(spark, bank.raw_branch(spark, sf_dir))))
 
 
 @query("read_credit_json", f"""WITH {_TXN}
@@ -821,7 +901,7 @@ SELECT CUST_CC_NO AS CREDIT_CARD_NO, CAST(substr(TIMEID,1,4) AS INTEGER) AS YEAR
 FROM txn""")
 def read_credit_json(spark, sf_dir):
     raw = read_raw(spark, "credit", _staged(spark, bank.raw_credit(spark, sf_dir)))
-    return _plain(split_corrupt(raw)[0])
+    return _plain(_good(raw))
 
 
 @query("read_customer_json", """
@@ -832,12 +912,13 @@ SELECT c_custkey AS SSN, lower(c_mktsegment) || '-' || n_name AS FIRST_NAME,
   n_name AS CUST_CITY, n_name AS CUST_STATE, r_name AS CUST_COUNTRY,
   CAST(c_custkey % 100 AS VARCHAR) AS CUST_ZIP,
   CAST(1234000000 + c_custkey*37 AS VARCHAR) AS CUST_PHONE,
-  replace(lower(c_name),'#','.') || '@x.com' AS CUST_EMAIL
+  replace(lower(c_name),'#','.') || '@x.com' AS CUST_EMAIL,
+  strftime(TIMESTAMP '2021-09-05 08:15:30' + to_seconds(c_custkey), '%Y-%m-%dT%H:%M:%S')
+    || '.000-04:00' AS LAST_UPDATED
 FROM customer JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey""")
 def read_customer_json(spark, sf_dir):
-    raw = read_raw(spark, "customer", _staged(spark, bank.raw_customer(spark, sf_dir)))
-    return split_corrupt(raw)[0].drop("LAST_UPDATED")
+    return _good(read_raw(spark, "customer", _staged(spark, bank.raw_customer(spark, sf_dir))))
 
 
 _LOAN_ROWS = f"""WITH {_LOAN}
@@ -847,7 +928,7 @@ SELECT Application_ID, Application_Status, Self_Employed, Gender, Married FROM l
 @query("read_loan_json", _LOAN_ROWS)
 def read_loan_json(spark, sf_dir):
     path = _staged_arrays(spark, bank.loan(spark, sf_dir), "Application_ID")
-    return read_raw(spark, "loan", path)
+    return _good(read_raw(spark, "loan", path, _LOAN_SCHEMA))
 
 
 @query("etl_branch", f"""WITH {_BRANCH}
@@ -875,8 +956,11 @@ def etl_customer(spark, sf_dir):
 
 @query("etl_loan", _LOAN_ROWS)
 def etl_loan(spark, sf_dir):
+    """With the usual schema: the identifier comes among the other fields."""
     path = _staged_arrays(spark, bank.loan(spark, sf_dir), "Application_ID")
-    return _loaded(spark, "loan", path)
+    stored = _loaded(spark, "loan", path)
+    number = F.col(schemas.OTHER_FIELDS)["Application_ID"].cast("bigint")
+    return stored.withColumn("Application_ID", number).drop(schemas.OTHER_FIELDS)
 
 
 @query("stored_month", f"""WITH {_TXN}
@@ -884,13 +968,14 @@ SELECT {_TXN_COLUMNS} FROM txn WHERE TIMEID LIKE '199804%'""")
 def stored_month(spark, sf_dir):
     """One month of the transactions stored by month: only its folder is read."""
     path = f"{scratch_folder(spark)}/credit"
-    writers.write_table(bank.txn(spark, sf_dir), path, ["txn_month"], ["CUST_CC_NO"])
+    writers.write_table(bank.txn(spark, sf_dir), path, **LAYOUT["credit"])
     stored = read_table(spark, path, schemas.CREDIT)
     return _txn_rows(stored.filter(dates.in_month(YEAR, MONTH)))
 
 
 @query("catalog_table", f"""WITH {_BRANCH}
-SELECT BRANCH_CODE, BRANCH_NAME, BRANCH_STATE FROM branch""")
+SELECT BRANCH_CODE, BRANCH_NAME, BRANCH_STREET, BRANCH_CITY, BRANCH_STATE, BRANCH_ZIP,
+  {_BRANCH_PHONE} AS BRANCH_PHONE, LAST_UPDATED FROM branch""")
 def catalog_table(spark, sf_dir):
     """Branches kept as a table of a database that is created when absent."""
     location = scratch_folder(spark)
@@ -898,7 +983,7 @@ def catalog_table(spark, sf_dir):
     writers.ensure_database(spark, database, location)
     writers.ensure_database(spark, database, location)
     writers.save_as_table(bank.branch(spark, sf_dir), f"{database}.branch")
-    return spark.table(f"{database}.branch").select("BRANCH_CODE", "BRANCH_NAME", "BRANCH_STATE")
+    return _plain(spark.table(f"{database}.branch"))
 
 
 @query("stored_result", SQL["monthly_bills"])

@@ -2,38 +2,64 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cardlake.sources.schemas import CORRUPT_COLUMN
+from cardlake.sources.schemas import CORRUPT_COLUMN, OTHER_FIELDS
+
 
+def _records(lines: DataFrame, schema: str) -> DataFrame:
+    """Records of texts ``value`` that hold one JSON object each.
 
-def _json(spark: SparkSession, schema: str | None):
-    reader = spark.read.option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", CORRUPT_COLUMN
+    Parsing has options set, so which records are bad does not depend on the columns
+    asked for later.
+    """
+    declared = StructType.fromDDL(schema)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    parsed = F.from_json("value", f"{schema}, {CORRUPT_COLUMN} STRING", options)
+    others = F.map_filter(
+        F.from_json("value", "map<string,string>", options),
+        lambda name, _: ~name.isin(declared.fieldNames()),
+    )
+    read = lines.select("value", parsed.alias("parsed"), others.alias("others"))
+    # Text that is JSON but no object gives nothing at all.
+    bad = F.coalesce(
+        F.col(f"parsed.{CORRUPT_COLUMN}"), F.when(F.col("parsed").isNull(), F.col("value"))
+    )
+    return read.select(
+        *[F.col("parsed")[name].alias(name) for name in declared.fieldNames()],
+        F.when(F.size("others") > 0, F.col("others")).alias(OTHER_FIELDS),
+        bad.alias(CORRUPT_COLUMN),
     )
-    return reader.schema(f"{schema}, {CORRUPT_COLUMN} STRING") if schema else reader
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """JSON, one record per line; files are split between tasks.
 
     Lines that do not parse come back with null fields and their text in
-    ``_corrupt_record``.
+    ``_corrupt_record``. Fields that the schema does not name are kept as text in the
+    map ``other_fields``, null where there are none. Blank lines are no records.
     """
-    return _json(spark, schema).json(path)
+    lines = spark.read.text(path).filter(F.col("value").rlike(r"\S"))
+    return _records(lines, schema)
 
 
-def read_json_array(
-    spark: SparkSession, path: str | list[str], schema: str | None = None
-) -> DataFrame:
-    """JSON files that each hold one array of records.
+def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """JSON files that each hold one array of records, or one record.
 
-    An array cannot be split, so one file is one task: stage large inputs as
-    many files. Without a schema all source columns are kept, for one more pass.
+    An array cannot be split, so one file is one task: stage large inputs as many
+    files. The records come as those of :func:`read_json_lines`; a file that does not
+    parse comes as one bad record with its whole text.
     """
-    return _json(spark, schema).option("multiLine", True).json(path)
+    texts = spark.read.text(path, wholetext=True).filter(F.col("value").rlike(r"\S"))
+    elements = F.when(F.col("value").rlike(r"^\s*\{"), F.array("value")).otherwise(
+        F.from_json("value", "array<string>")
+    )
+    whole = F.coalesce(elements, F.array("value"))
+    return _records(texts.select(F.explode(whole).alias("value")), schema)
 
 
 def read_table(
@@ -52,6 +78,7 @@ def read_jdbc(
     column: str | None = None,
     num_partitions: int | None = None,
     bounds: tuple | None = None,
+    fetch_size: int = 10_000,
 ) -> DataFrame:
     """Database table.
 
@@ -59,9 +86,11 @@ def read_jdbc(
     ``num_partitions`` ranges that are fetched in parallel; bounds not given
     are asked from the database in one query. Bounds only place the cuts: rows
     outside of them, and nulls, are read as well. Without ``column`` one task
-    reads the table.
+    reads the table, which is warned of. ``fetch_size`` rows come in one round trip.
     """
+    properties = {"fetchsize": str(fetch_size)} | (properties or {})
     if not column:
+        warnings.warn(f"one task reads all of {table}: name a column to cut it by", stacklevel=2)
         return spark.read.jdbc(url, table, properties=properties)
     if not num_partitions:
         raise ValueError("num_partitions is needed with column")

@@ -17,7 +17,12 @@ RAW_CUSTOMER = (
     "CUST_ZIP STRING, CUST_PHONE STRING, CUST_EMAIL STRING, LAST_UPDATED STRING"
 )
 
-# Warehouse tables. The loan table keeps its source columns.
+# The columns the questions need; others of the files come as ``OTHER_FIELDS``.
+RAW_LOAN = (
+    "Application_Status STRING, Self_Employed STRING, Gender STRING, Married STRING"
+)
+
+# Warehouse tables, without ``OTHER_FIELDS``.
 BRANCH = (
     "BRANCH_CODE BIGINT, BRANCH_NAME STRING, BRANCH_STREET STRING, BRANCH_CITY STRING, "
     "BRANCH_STATE STRING, BRANCH_ZIP STRING, BRANCH_PHONE STRING, LAST_UPDATED TIMESTAMP"
@@ -35,3 +40,5 @@ CUSTOMER = (
 CHANGES = "SSN BIGINT, field STRING, new_value STRING, seq BIGINT"
 
 CORRUPT_COLUMN = "_corrupt_record"
+# Map of the fields of a record that its schema does not name.
+OTHER_FIELDS = "other_fields"

@@ -12,9 +12,15 @@ _VERSIONS = "version BIGINT, path STRING, committed_at TIMESTAMP"
 
 
 def _laid_out(
-    df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], mode: str
+    df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], mode: str,
+    cluster_by: Sequence[str] = (),
 ) -> DataFrameWriter:
-    if partition_by:
+    if cluster_by:
+        # Ranges: a key lies in one file, or in a few where the columns after it cut a
+        # hot one, and readers skip the other files by min/max. The bounds come from a
+        # sample, for which the source is read once more.
+        df = df.repartitionByRange(*[F.col(c) for c in (*partition_by, *cluster_by)])
+    elif partition_by:
         # One shuffle brings the rows of a folder together, so that files are few.
         # Adaptive execution cuts a folder that is too large for one task.
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
@@ -32,29 +38,30 @@ def _laid_out(
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
-    mode: str = "overwrite",
+    mode: str = "overwrite", cluster_by: Sequence[str] = (),
 ) -> None:
-    """Write a Parquet table.
+    """Write a Parquet table; with ``cluster_by`` in files that hold ranges of these columns.
 
     ``overwrite`` and ``replace_partitions`` (only the folders that occur in
     ``df``) give the same table when run again; ``append`` adds the rows again.
     """
-    _laid_out(df, partition_by, sort_by, mode).save(path)
+    _laid_out(df, partition_by, sort_by, mode, cluster_by).save(path)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create a catalog database unless it is there."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`" + (
+    quoted = name.replace("`", "``")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{quoted}`" + (
         " LOCATION '{}'".format(location.replace("'", r"\'")) if location else ""
     ))
 
 
 def save_as_table(
     df: DataFrame, name: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
-    mode: str = "overwrite",
+    mode: str = "overwrite", cluster_by: Sequence[str] = (),
 ) -> None:
     """Write a catalog table, laid out as by :func:`write_table`."""
-    _laid_out(df, partition_by, sort_by, mode).saveAsTable(name)
+    _laid_out(df, partition_by, sort_by, mode, cluster_by).saveAsTable(name)
 
 
 def write_jdbc(

@@ -2,15 +2,15 @@
 
 import json
 
-STAMP = "2018-04-18T16:51:47.000-04:00"
+STAMP = "2021-09-05T08:15:30.000-04:00"
 
 BRANCHES = [
-    dict(BRANCH_CODE=1, BRANCH_NAME="Example Bank", BRANCH_STREET="Court", BRANCH_CITY="Lake",
-         BRANCH_STATE="MN", BRANCH_ZIP=55044, BRANCH_PHONE="1234565276", LAST_UPDATED=STAMP),
-    dict(BRANCH_CODE=2, BRANCH_NAME="Example Bank", BRANCH_STREET="Row", BRANCH_CITY="Paterson",
-         BRANCH_STATE="NJ", BRANCH_ZIP=7501, BRANCH_PHONE="1237818", LAST_UPDATED=STAMP),
-    dict(BRANCH_CODE=3, BRANCH_NAME="Example Bank", BRANCH_STREET="Lane", BRANCH_CITY="Nowhere",
-         BRANCH_STATE="MN", BRANCH_ZIP=None, BRANCH_PHONE=None, LAST_UPDATED=STAMP),
+    dict(BRANCH_CODE=1, BRANCH_NAME="Hill Savings", BRANCH_STREET="Quarry Road", BRANCH_CITY="Fernley",
+         BRANCH_STATE="OR", BRANCH_ZIP=40217, BRANCH_PHONE="9075551234", LAST_UPDATED=STAMP),
+    dict(BRANCH_CODE=2, BRANCH_NAME="Hill Savings", BRANCH_STREET="Harbor Way", BRANCH_CITY="Millbrook",
+         BRANCH_STATE="VT", BRANCH_ZIP=3068, BRANCH_PHONE="9075558", LAST_UPDATED=STAMP),
+    dict(BRANCH_CODE=3, BRANCH_NAME="Hill Savings", BRANCH_STREET="Lane", BRANCH_CITY="Nowhere",
+         BRANCH_STATE="OR", BRANCH_ZIP=None, BRANCH_PHONE=None, LAST_UPDATED=STAMP),
 ]
 
 
@@ -24,10 +24,10 @@ def _customer(ssn, first, middle, last, apartment, state, zip_code, phone, city=
 
 
 CUSTOMERS = [
-    _customer(123456001, "MARY-JANE", "ANN", "o'brien", "4", "MN", "07501", 1234567),
-    _customer(123456002, "josé", None, "DE LA CRUZ", "12", "MN", "7501", 1234565277),
-    _customer(123456003, "amy", "b", "stone", None, None, "55044", None),
-    _customer(123456004, "no", "x", "purchases", "1", "NJ", "55044", 1234565279),
+    _customer(123456001, "MARY-JANE", "ANN", "o'brien", "4", "OR", "03068", 2025550),
+    _customer(123456002, "josé", None, "DE LA CRUZ", "12", "OR", "3068", 2025550147),
+    _customer(123456003, "amy", "b", "stone", None, None, "40217", None),
+    _customer(123456004, "no", "x", "purchases", "1", "VT", "40217", 2025550149),
 ]
 
 

@@ -27,7 +27,7 @@ def random_bank(spark, seed):
             r.choice(TYPES), value, f"{day:%Y%m}",
         ))
     customer = [(s, f"4{s:03d}", f"{s % 4:05d}") for s in [*range(1, 25), 7, 7]]
-    branch = [(1, "MN"), (2, "NJ"), (3, "MN"), (4, None), (4, "NJ")]
+    branch = [(1, "OR"), (2, "VT"), (3, "OR"), (4, None), (4, "VT")]
     return txn, customer, branch, (
         spark.createDataFrame(txn, schemas.CREDIT),
         spark.createDataFrame(customer, "SSN BIGINT, CREDIT_CARD_NO STRING, CUST_ZIP STRING"),

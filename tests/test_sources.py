@@ -34,8 +34,10 @@ class StandIn:
 
 def test_jdbc_read_in_one_task():
     spark = StandIn()
-    readers.read_jdbc(spark, "jdbc:x", "CREDIT", {"user": "u"})
-    assert spark.calls == [(("jdbc:x", "CREDIT"), {"properties": {"user": "u"}})]
+    with pytest.warns(UserWarning, match="one task"):
+        readers.read_jdbc(spark, "jdbc:x", "CREDIT", {"user": "u"})
+    assert spark.calls == [
+        (("jdbc:x", "CREDIT"), {"properties": {"fetchsize": "10000", "user": "u"}})]
 
 
 def test_jdbc_read_in_ranges_asks_for_the_bounds():
@@ -48,7 +50,7 @@ def test_jdbc_read_in_ranges_asks_for_the_bounds():
     assert args == ("jdbc:x", "CREDIT")
     assert named == {
         "column": "TRANSACTION_ID", "lowerBound": "1", "upperBound": "900", "numPartitions": 8,
-        "properties": None,
+        "properties": {"fetchsize": "10000"},
     }
 
 
@@ -58,7 +60,7 @@ def test_jdbc_read_with_given_bounds_and_of_empty_tables():
     assert len(spark.calls) == 1 and spark.calls[0][1]["upperBound"] == "10"
     spark = StandIn(answer=(None, None))
     readers.read_jdbc(spark, "u", "T", column="c", num_partitions=2)
-    assert spark.calls[1] == (("u", "T"), {"properties": None})
+    assert spark.calls[1] == (("u", "T"), {"properties": {"fetchsize": "10000"}})
     with pytest.raises(ValueError):
         readers.read_jdbc(spark, "u", "T", column="c")
 
@@ -78,21 +80,61 @@ def test_jdbc_write():
 def test_json_array_files(spark, tmp_path):
     (tmp_path / "a.json").write_text('[\n {"k": 1, "s": "a"},\n {"k": 2}\n]\n')
     (tmp_path / "b.json").write_text('[{"k": 3, "s": "},{"}]')
-    inferred = readers.read_json_array(spark, str(tmp_path))
-    assert sorted(map(tuple, inferred.select("k", "s").collect())) == [
-        (1, "a"), (2, None), (3, "},{")
+    (tmp_path / "c.json").write_text('{"k": 4, "other": {"x": [1]}}')
+    (tmp_path / "d.json").write_text('[{"k": 5}, {"k": ')
+    (tmp_path / "e.json").write_text(" \n")
+    found = readers.read_json_array(spark, str(tmp_path), "k INT, s STRING")
+    assert found.schema["k"].dataType.simpleString() == "int"
+    good, bad = readers.split_corrupt(found)
+    assert sorted(map(tuple, good.select("k", "s").collect())) == [
+        (1, "a"), (2, None), (3, "},{"), (4, None)
     ]
-    declared = readers.read_json_array(spark, str(tmp_path), "k INT, s STRING")
-    assert declared.schema["k"].dataType.simpleString() == "int"
-    assert declared.count() == 3
+    assert [r.other_fields for r in good.collect() if r.k == 4] == [{"other": '{"x":[1]}'}]
+    assert [r["_corrupt_record"] for r in bad.collect()] == ['[{"k": 5}, {"k": ']
+
+
+def test_which_records_are_bad_does_not_depend_on_the_columns(spark, tmp_path):
+    path = tmp_path / "a.json"
+    path.write_text('{"a": 1, "y": 2018}\n{"a": 2, "y": "bad"}\n{"a": 3\n\n7\nnull\n')
+    good, bad = readers.split_corrupt(
+        readers.read_json_lines(spark, str(path), "a BIGINT, y INT"))
+    assert (good.count(), bad.count()) == (1, 4)
+    assert [r.a for r in good.select("a").collect()] == [1]
+    assert len(bad.select("_corrupt_record").collect()) == 4 == len(bad.select("a").collect())
+
+
+def test_fields_that_are_not_declared_are_kept(spark, tmp_path):
+    path = tmp_path / "a.json"
+    path.write_text('{"a": 1, "EXTRA": "x", "n": 2.5}\n{"a": 2}\n')
+    rows = readers.read_json_lines(spark, str(path), "a BIGINT").collect()
+    assert [r.other_fields for r in rows] == [{"EXTRA": "x", "n": "2.5"}, None]
+
+
+def test_a_card_lies_in_one_file_or_two(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("c0000")).otherwise(
+            F.format_string("c%04d", F.col("id") % 1000)).alias("card"),
+        F.col("id").alias("txn"), F.lit("201801").alias("m"))
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_table(rows, path, ["m"], ["card", "txn"], cluster_by=["card", "txn"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = readers.read_table(spark, path).withColumn("file", F.input_file_name())
+    files = {r.card: r.n for r in stored.groupBy("card").agg(
+        F.countDistinct("file").alias("n")).collect()}
+    assert stored.select("file").distinct().count() >= 6
+    assert max(n for c, n in files.items() if c != "c0000") <= 2
+    assert files["c0000"] >= 2  # the hot card is cut
 
 
 def test_json_lines_read_numbers_as_declared(spark, tmp_path):
     path = tmp_path / "a.json"
-    path.write_text('{"z": 7501, "v": 10.1}\n{"z": "07501", "v": 3}\n{"z": null}\n')
+    path.write_text('{"z": 3068, "v": 10.1}\n{"z": "03068", "v": 3}\n{"z": null}\n')
     found = readers.read_json_lines(spark, str(path), "z STRING, v DECIMAL(18,2)")
     assert [(r["z"], str(r["v"])) for r in found.collect()] == [
-        ("7501", "10.10"), ("07501", "3.00"), (None, "None")
+        ("3068", "10.10"), ("03068", "3.00"), (None, "None")
     ]
 
 
@@ -134,7 +176,9 @@ def test_settings_follow_the_size_of_the_input():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert sized(1 << 30) == {key: "200"}
     assert sized(1 << 40) == {key: "2048"}
-    assert sized(100 << 40) == {key: "30000", "spark.sql.files.maxPartitionBytes": "512m"}
+    assert sized(200 << 40, max_partitions=30_000) == {
+        key: "30000", "spark.sql.files.maxPartitionBytes": "512m"}
+    assert sized(100 << 40)[key] == "200000"
 
     class Builder(dict):
         def config(self, key, value):
