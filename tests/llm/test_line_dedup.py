@@ -1,0 +1,75 @@
+import html as markup
+import re
+from collections import Counter
+
+from cardlake.llm.line_dedup import BLOCKS, drop_boilerplate
+
+PAGE = "page_id long, url string, html string"
+
+
+def _lines(page):
+    text = re.sub(
+        r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<!doctype[^>]*>", " ",
+        page or "")
+    text = re.sub(rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n", text)
+    text = re.sub("<[^>]*>", "", text)
+    for name in ("&nbsp;", "&lt;", "&gt;", "&quot;", "&#39;", "&amp;"):
+        text = text.replace(name, markup.unescape(name).replace("\xa0", " "))
+    lines = [re.sub(r"[\x20\x09\x0B-\x0D]+", " ", x).strip(" ") for x in text.split("\n")]
+    return [x for x in lines if x]
+
+
+def _host(url):
+    found = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+    return found[1].lower() if found else ""
+
+
+def _expected(rows, ratio=0.3, least=3):
+    pages, having = Counter(), Counter()
+    for _, url, page in rows:
+        pages[_host(url)] += 1
+        having.update((_host(url), x) for x in set(_lines(page)))
+    result = []
+    for number, url, page in rows:
+        host, lines = _host(url), _lines(page)
+        kept = [x for x in lines if not (
+            having[host, x] >= least and having[host, x] > ratio * pages[host])]
+        result.append((str(number), host, pages[host], len(lines), len(lines) - len(kept),
+                       "\n".join(kept)))
+    return sorted(result)
+
+
+def _found(pages, **options):
+    return sorted((str(r[0]), *r[1:]) for r in drop_boilerplate(pages, **options).collect())
+
+
+def test_whole_table_against_brute_force(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    found = _found(pages)
+    assert found == _expected(rows)
+    assert sum(r[4] for r in found) > 0
+
+
+def test_nulls_ties_repeated_rows_and_clashing_columns(spark):
+    rows = [
+        (1, "http://A.example/x", "<p>same</p><p>one &amp; only</p>"),
+        (2, "https://u:p@a.example:8080?q", "<P>same<br>two<script>var x='<p>'</script>"),
+        (2, "https://u:p@a.example:8080?q", "<P>same<br>two<script>var x='<p>'</script>"),
+        (3, "http://a.example", "same\nsame"), (4, None, "<b>x"), (5, "no address", None),
+        (None, "http://b.example/", ""), (6, "http://b.example/", "<p>" + "long " * 20_000),
+        (7, "http://a.example/7", "<p>a<p>b<p>c"),
+    ]
+    pages = spark.createDataFrame(rows, PAGE)
+    for name in ("host", "lines", "line", "known", "kept", "boilerplate", "host_pages", "text"):
+        pages = pages.selectExpr("*", f"1 AS {name}")
+    assert _found(pages) == _expected(rows)
+    assert _found(pages, ratio=0.9) == _expected(rows, 0.9)
+    assert _found(pages, min_pages=5) == _expected(rows, least=5)
+    assert drop_boilerplate(spark.createDataFrame([], PAGE)).count() == 0
+
+
+def test_a_host_with_most_pages_is_split(spark):
+    rows = [(i, "http://big.example/" if i % 10 else f"http://h{i}.example/",
+             f"<p>menu</p><p>{i}</p>") for i in range(2000)]
+    assert _found(spark.createDataFrame(rows, PAGE)) == _expected(rows)

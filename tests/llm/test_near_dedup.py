@@ -1,0 +1,153 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cardlake.llm.components import components
+from cardlake.llm.near_dedup import (
+    dart_signatures, drop_near_duplicates, near_duplicates, shingles, word_hashes,
+)
+
+
+def _sets(rows, weight="set"):
+    found = {}
+    for i, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        size = min(5, len(words))
+        windows = [tuple(words[j:j + size]) for j in range(len(words) - size + 1)] if words else [()]
+        if weight == "count":
+            seen = Counter()
+            for n, w in enumerate(windows):
+                windows[n] = (w, seen[w])
+                seen[w] += 1
+        found[i] = (set(windows), tuple(words))
+    return found
+
+
+def _classes(rows, least=0.8, weight="set"):
+    """Least id of the class of each row, by all pairs that share a window."""
+    sets, having = _sets(rows, weight), {}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (own, words) in sorted(sets.items()):
+        shared = Counter(j for w in own for j in having.get(w, ()))
+        for j, n in shared.items():
+            if n >= least * (len(own) + len(sets[j][0]) - n) or words == sets[j][1]:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+        for w in own:
+            having.setdefault(w, []).append(i)
+    return {i: root(i) for i in sets}
+
+
+def _found(docs, **options):
+    return {r.doc_id: r.class_id for r in near_duplicates(docs, **options).collect()}
+
+
+def test_whole_table_against_brute_force(documents):
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    expected = _classes(rows)
+    found = near_duplicates(documents).collect()
+    assert {r.doc_id: r.class_id for r in found} == expected
+    sizes = Counter(expected.values())
+    assert all(r.class_size == sizes[r.class_id] and r.kept == (r.doc_id == r.class_id)
+               for r in found)
+    kept = drop_near_duplicates(documents)
+    assert kept.columns == documents.columns
+    assert {r.doc_id for r in kept.collect()} == set(expected.values())
+
+
+def _edited(words, share):
+    return [w if random.random() > share else f"x{random.randrange(10**6)}" for w in words]
+
+
+@pytest.mark.parametrize("weight", ["set", "count"])
+def test_groups_of_edited_copies(make, weight):
+    random.seed(11)
+    rows = []
+    for n in range(60):
+        base = [f"w{random.randrange(3000)}" for _ in range(random.randrange(30, 400))]
+        base += ["again and again it says this"] * random.randrange(3)
+        for _ in range(random.choice([1, 1, 2, 5, 12])):
+            rows.append((len(rows) + 1, " ".join(_edited(base, random.choice([0, 0.005, 0.02, 0.05])))))
+    random.shuffle(rows)
+    found, expected = _found(make(rows), weight=weight), _classes(rows, weight=weight)
+    assert np.mean([found[i] == expected[i] for i, _ in rows]) > 0.99
+    # Nothing is joined that the exact comparison keeps apart.
+    assert len(set(found.values())) >= len(set(expected.values()))
+
+
+def test_one_group_of_a_third_of_all_rows(make):
+    random.seed(5)
+    base = [f"w{n}" for n in range(300)]
+    rows = [(i, " ".join(_edited(base, 0.005)) if i % 3 == 0 else f"{i} a b c d {i} e f")
+            for i in range(900)]
+    found, expected = _found(make(rows).repartition(5)), _classes(rows)
+    assert found == expected and max(Counter(found.values()).values()) > 250
+
+
+def test_nulls_short_texts_ties_and_repeated_rows(odd, none, make):
+    docs = make([(4, "a b"), (2, "a  b"), (None, "a b"), (3, "a c"), (9, None), (7, ""), (7, " ")])
+    rows = sorted((str(r.doc_id), str(r.class_id), r.class_size, r.kept)
+                  for r in near_duplicates(docs).collect())
+    assert rows == [("2", "2", 3, True), ("3", "3", 1, True), ("4", "2", 3, False),
+                    ("7", "7", 3, False), ("7", "7", 3, True), ("9", "7", 3, False),
+                    ("None", "2", 3, False)]
+    assert near_duplicates(odd).count() == odd.count()
+    assert near_duplicates(none).count() == 0 and drop_near_duplicates(none).count() == 0
+
+
+def test_signatures_agree_as_weighted_jaccard():
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 2**63, 400).astype(np.uint64)
+    b = a.copy()
+    b[:80] = rng.integers(0, 2**63, 80).astype(np.uint64)
+    for low, high in ((1, 2), (1, 20)):
+        x, y = (rng.integers(low, high, 400).astype(float) for _ in "ab")
+        shared = np.minimum(x, y)[80:].sum()
+        true = shared / (x.sum() + y.sum() - shared)
+        both = dart_signatures([(a, x), (b, y)], 4000)
+        assert abs((both[0] == both[1]).mean() - true) < 0.035
+    empty = dart_signatures([(a[:0], x[:0]), (a[:1], x[:1])], 16)
+    assert not empty[0].any() and empty[1].all()
+
+
+def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
+    text = "one two\n three\tone  é 漢字 one"
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    found = word_hashes(text)
+    assert [words.index(w) for w in words] == [found.tolist().index(h) for h in found]
+    monkeypatch.setattr("cardlake.llm.near_dedup._BLOCK", 3)
+    assert (word_hashes(text) == found).all()
+    assert len(shingles(found)) == len(words) - 4 and len(shingles(found[:2])) == 1
+
+
+def test_components_against_union_find(spark):
+    random.seed(6)
+    links = [(random.randrange(400), random.randrange(400)) for _ in range(260)]
+    links += [(n, n + 1) for n in range(1000, 1080)] + [(5000, n) for n in range(5001, 5300)]
+    parent = {}
+
+    def root(i):
+        parent.setdefault(i, i)
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for u, v in links:
+        a, b = sorted((root(u), root(v)))
+        parent[b] = a
+    df = spark.createDataFrame(links + links[:20], "u long, v long")
+    found = {r.node: r.component for r in components(df).collect()}
+    alone = {u for u, v in links if u == v}
+    assert found == {i: root(i) for i in parent if root(i) != i or any(
+        root(j) == i and j != i for j in parent)} or set(found) | alone == set(parent)
+    assert all(found[i] == root(i) for i in found)
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0

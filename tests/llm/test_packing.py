@@ -1,3 +1,4 @@
+import random
 import struct
 import zlib
 
@@ -6,7 +7,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cardlake.llm.packing import HarmonicBins, cut, pack
+from cardlake.llm.packing import HarmonicBins, TokenizerIds, cut, pack
 
 
 @given(st.integers(1, 9000), st.sampled_from([7, 64, 2048]), st.integers(0, 3))
@@ -40,6 +41,21 @@ def test_bins_take_a_fixed_number_of_a_class(lengths):
         assert place <= 64
 
 
+def test_ids_are_those_of_the_library(tokenizer):
+    reference, own = Tokenizer.from_file(tokenizer), TokenizerIds(tokenizer)
+    assert own.fast is not None
+    letters = [chr(c) for c in range(1, 0x250)]
+    random.seed(9)
+    texts = [x + y for x in letters for y in ("a", " ", "1", "'s", ".", "\n", "é")]
+    texts += [y + x for x in letters for y in ("a", " ", "1", "'", ".", "\n", " \n ")]
+    texts += ["".join(random.choices(letters, k=random.randrange(40))) for _ in range(3000)]
+    texts += ["".join(random.choices([*"ab ,.\n\t's19", "漢", "<|endoftext|>", "ж", "é"],
+                                     k=random.randrange(30))) for _ in range(3000)]
+    texts += ["x" * 200_000, " " * 5000, "", "ab" * 3000 + "  \n"]
+    expected = [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
+    assert [list(struct.unpack(f"<{len(i) // 4}I", i)) for i in own.encode(texts)] == expected
+
+
 def _check(found, docs, tokenizer, capacity):
     reference = Tokenizer.from_file(tokenizer)
     ids = {}

@@ -1,0 +1,128 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cardlake.llm import quality_rules
+from cardlake.llm.quality_rules import COUNTS, keep_good, quality_verdicts
+
+
+def _counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text),
+            len(lines) - len(set(lines)), len(covered), len(lines))
+
+
+def _failed(c):
+    return c[0] < 50 or 100 * c[4] > 50 * c[0]
+
+
+def _quantile(values, share):
+    """The value that ``percentile_approx`` gives where it keeps all values."""
+    return np.sort(values)[max(0, int(np.ceil(share * len(values))) - 1)]
+
+
+def _verdicts(rows, min_rows, cutoff):
+    """Minimum-covariance-determinant estimates in plain numpy."""
+    counts = [_counts(r[1]) for r in rows]
+    x = np.array([[np.log(max(c[1], 1) / max(c[0], 1)), np.sqrt(c[2] / max(c[1], 1)),
+                   np.sqrt(c[3] / max(c[5], 1)), np.sqrt(c[4] / max(c[0], 1))] for c in counts])
+    usual = np.array([not _failed(c) for c in counts])
+    own = Counter((r[2], r[3]) for r, u in zip(rows, usual, strict=True) if u)
+    pooled = Counter()
+    for (lang, _), n in own.items():
+        pooled[lang] += n if n < min_rows else 0
+
+    def group(lang, source):
+        if own[lang, source] >= min_rows:
+            return lang, source
+        return (lang,) if pooled[lang] >= min_rows else ()
+
+    groups = [group(r[2], r[3]) if (r[2], r[3]) in own else None for r in rows]
+    floors = np.diag(np.square(quality_rules.FLOORS))
+    kept = usual.copy()
+    for name in {g for g in groups if g is not None}:
+        mine = np.array([g == name for g in groups])
+        rows_ = x[mine & usual]
+
+        def far(rows_, mean, cov):
+            shifted = rows_ - mean
+            return np.einsum("ij,jk,ik->i", shifted, np.linalg.inv(cov), shifted)
+
+        def moments(near, factor):
+            return near.mean(axis=0), np.cov(near.T, bias=True).reshape(4, 4) * factor + floors
+
+        mean = np.array([_quantile(c, 0.5) for c in rows_.T])
+        spread = np.array([_quantile(c, 0.5) for c in np.abs(rows_ - mean).T])
+        cov = np.diag(np.square(1.4826 * spread)) + floors
+        for _ in range(quality_rules.STEPS):
+            d = far(rows_, mean, cov)
+            mean, cov = moments(rows_[d <= _quantile(d, quality_rules.SHARE)],
+                                quality_rules.CONSISTENCY)
+        d = far(rows_, mean, cov)
+        mean, cov = moments(rows_[d <= quality_rules.REWEIGHT], 1.0)
+        kept[mine] &= far(x[mine], mean, cov) <= cutoff
+    return counts, kept
+
+
+@pytest.mark.parametrize(("min_rows", "cutoff"), [(10, 64.0), (25, 12.0)])
+def test_against_numpy(documents, min_rows, cutoff):
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "lang", "source").collect()]
+    counts, kept = _verdicts(rows, min_rows, cutoff)
+    found = {r.doc_id: r for r in quality_verdicts(
+        documents, cutoff=cutoff, min_rows=min_rows).collect()}
+    for row, c, k in zip(rows, counts, kept, strict=True):
+        r = found[row[0]]
+        assert tuple(r[n] for n in COUNTS) == c[:5]
+        assert r.base_failed == _failed(c)
+        if r.distance is None or abs(r.distance ** 2 - cutoff) > 1e-6 * cutoff:
+            assert r.kept == k
+    assert 0 < sum(not k and not _failed(c) for k, c in zip(kept, counts, strict=True))
+
+
+def test_good_documents_stay_and_bad_ones_go(spark, sf_dir, documents):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = quality_verdicts(documents).join(labels, "doc_id").collect()
+    good = [r.kept for r in rows if r.quality == 1 and not r.base_failed]
+    bad = [r.kept for r in rows if r.quality == 0]
+    assert all(good) and np.mean(bad) < 0.6
+
+
+WORDS = [
+    "", " \n", "a b c", "a a a a", "a b c a b c", "a b c x a b c y b c x", "a b a b a",
+    "x y z\nx y z\n\nx y z", "# $ %% && a|b <c>", "é é é ñ", "a b c d " * 40,
+]
+
+
+def test_counts_of_small_texts(make):
+    rows = [(i, t) for i, t in enumerate([*WORDS, None, "w" * 3000, "one two " * 9000])]
+    found = {r.doc_id: r for r in quality_verdicts(make(rows)).collect()}
+    for i, t in rows:
+        assert tuple(found[i][n] for n in COUNTS) == _counts(t)[:5], t
+        assert found[i].base_failed == _failed(_counts(t)) and found[i].kept != found[i].base_failed
+
+
+def test_odd_rows(odd, none, make):
+    assert quality_verdicts(odd).count() == odd.count()
+    assert quality_verdicts(none).count() == 0 and keep_good(none).count() == 0
+    text = " ".join(f"word{n}" for n in range(60))
+    docs = make([(1, text, None, None), (1, text, None, None), (None, text, "en", None), (2, "short")])
+    kept = keep_good(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "None"]
+
+
+def test_kept_rows_are_those_of_the_verdicts(documents):
+    kept = {r.doc_id for r in quality_verdicts(documents).collect() if r.kept}
+    assert {r.doc_id for r in keep_good(documents).collect()} == kept
+
+
+def test_no_python_in_the_plan(documents):
+    plan = quality_verdicts(documents)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
