@@ -15,13 +15,14 @@ BLOCKS = (
 HIDDEN = (
     r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<!doctype[^>]*>"
 )
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
             ("&amp;", "&")]
 
 
 def host_of(url: Column) -> Column:
     """The host in lower case, without user and port; empty where there is none or null."""
-    found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    found = F.regexp_extract(url, HOST, 1)
     return F.coalesce(F.lower(found), F.lit(""))
 
 

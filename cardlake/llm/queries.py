@@ -87,7 +87,35 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=16)
 
 
-@query("op4_line_dedup")
+@query("op4_line_dedup", rf"""
+WITH bare AS (
+  SELECT page_id,
+    coalesce(lower(regexp_extract(url, '{line_dedup.HOST}', 1)), '') AS host,
+    regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '{line_dedup.HIDDEN}', ' ', 'g'),
+      '(?i)</?(?:{line_dedup.BLOCKS})\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS t
+  FROM pages),
+lined AS (
+  SELECT page_id, host, list_filter(list_transform(string_split(regexp_replace(
+    replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'),
+      '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
+    '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines
+  FROM bare),
+totals AS (SELECT host, count(*) AS host_pages FROM lined GROUP BY host),
+having_line AS (
+  SELECT host, line, count(*) AS n
+  FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM lined) GROUP BY host, line),
+boilerplate AS (
+  SELECT host, list(line) AS known FROM having_line JOIN totals USING (host)
+  WHERE n >= 3 AND n > CAST(0.3 AS DOUBLE) * host_pages GROUP BY host),
+kept AS (
+  SELECT page_id, host, host_pages, lines, list_filter(lines,
+    lambda x: NOT list_contains(coalesce(known, []), x)) AS kept
+  FROM lined JOIN totals USING (host) LEFT JOIN boilerplate USING (host))
+SELECT page_id, host, host_pages, len(lines)::INTEGER AS n_lines,
+  (len(lines) - len(kept))::INTEGER AS n_dropped,
+  coalesce(array_to_string(kept, chr(10)), '') AS text
+FROM kept""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))
 
