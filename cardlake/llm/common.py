@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardlake.plans.session import scratch_folder
+
 # White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
@@ -31,22 +34,15 @@ def ship(spark: SparkSession) -> None:
     context._cardlake_sent = True
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one only for a local master."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="cardlake-")
-    return shared
-
-
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder, its lineage cut."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+    """``df`` computed once and kept as a table in the shared folder, its lineage cut.
+
+    A table and no checkpoint: a checkpoint keeps the estimated size of its plan, and in
+    loops the products of the estimates of joins soon fill the driver's memory.
+    """
+    path = f"{scratch_folder(df.sparkSession)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -57,11 +53,26 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+# Plans that give their rows in the same order in the same partitions each time.
+_SETTLED = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation", "Range"}
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df``, kept first unless it only reads rows where they stand.
+
+    A shuffle may give its rows in another order when it is run again, so numbers of
+    rows mean the same only over files or what is kept.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {re.sub(r"^[\s:+|-]*", "", line) for line in plan.splitlines()}
+    names = {re.match(r"\w*", node)[0] for node in nodes if node}
+    return df if names <= _SETTLED else saved(df)
+
+
 def with_row(df: DataFrame, name: str) -> DataFrame:
     """Number the rows by partition and place.
 
-    The numbers are the same at each reading where ``df`` gives its rows in a fixed
-    order in fixed partitions, as a table of files does.
+    The numbers are the same at each reading of a ``settled`` table.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 

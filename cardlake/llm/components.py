@@ -22,7 +22,7 @@ def _with_least(pairs: DataFrame) -> DataFrame:
     Spark can split a node that has very many neighbours.
     """
     least = saved(pairs.groupBy("u").agg(F.min("v").alias("least")))
-    return pairs.join(least, "u")
+    return pairs.join(least.hint("merge"), "u")
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:

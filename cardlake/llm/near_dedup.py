@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm.bpe_automaton import slices
-from cardlake.llm.common import fresh, saved, text_or_empty, with_row, without_rows
+from cardlake.llm.common import fresh, saved, settled, text_or_empty, with_row, without_rows
 from cardlake.llm.components import components
 from cardlake.llm.hashing import STEPS, U, mixed, spans, times
 
@@ -31,7 +31,7 @@ BANDS, BAND_ROWS = 24, 5
 # Passes over candidates: see ``_links``.
 ROUNDS = 3
 # Up to so many row numbers (8 bytes each) are broadcast.
-MAX_BROADCAST_ROWS = 4_000_000
+MAX_BROADCAST_ROWS = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -231,9 +231,9 @@ def _led(buckets: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:
         F.min("component").alias("low"), F.max("component").alias("high"),
     ).filter("low != high").select(
         "key", F.col("leader.node").alias("v"), F.col("leader.component").alias("own")))
-    pairs = buckets.join(leaders, "key").filter("component != own").select(
+    pairs = buckets.join(leaders.hint("merge"), "key").filter("component != own").select(
         F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct()
-    return pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti")
+    return pairs if tried is None else pairs.join(tried.hint("merge"), ["u", "v"], "left_anti")
 
 
 def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: int, weight: str):
@@ -247,7 +247,7 @@ def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: i
     """
     keyed = nodes.select("node", F.explode("keys").alias("key"))
     shared = saved(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
-    buckets = saved(keyed.join(shared, "key").select("key", "node"))
+    buckets = saved(keyed.join(shared.hint("merge"), "key").select("key", "node"))
     current = buckets.withColumn("component", F.col("node"))
     links = tried = known = None
     spark = nodes.sparkSession
@@ -261,8 +261,9 @@ def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: i
         wanted = F.broadcast(wanted) if few else wanted.hint("shuffle_hash")
         sets = saved(_shingle_sets(
             read.select("row", "text").join(wanted, "row", "left_semi"), size, weight))
-        first = pairs.join(sets.select(F.col("row").alias("u"), F.col("shingles").alias("a")), "u")
-        second = first.join(sets.select(F.col("row").alias("v"), F.col("shingles").alias("b")), "v")
+        of_u = sets.select(F.col("row").alias("u"), F.col("shingles").alias("a"))
+        of_v = sets.select(F.col("row").alias("v"), F.col("shingles").alias("b"))
+        second = pairs.join(of_u.hint("merge"), "u").join(of_v.hint("merge"), "v")
         found = saved(_similar(second, least))
         links = found if links is None else links.union(found)
         tried = pairs if tried is None else tried.union(pairs)
@@ -270,7 +271,7 @@ def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: i
             break
         known = components(links)
         current = saved(
-            buckets.join(known, "node", "left").select(
+            buckets.join(known.hint("merge"), "node", "left").select(
                 "key", "node", F.coalesce("component", "node").alias("component")))
     if links is None:
         empty = spark.createDataFrame([], "u long, v long")
@@ -297,7 +298,7 @@ def near_duplicates(
     do not matter.
     """
     row = fresh(docs, "row")
-    read = with_row(docs, row).select(
+    read = with_row(settled(docs), row).select(
         F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
         text_or_empty(text).alias("text"))
     rows = saved(_signed(read, bands, band_rows, shingle, weight))
@@ -306,21 +307,21 @@ def near_duplicates(
     copies = saved(rows.groupBy("content").agg(
         F.min(order).alias("first"), F.count("*").alias("copies")))
     texts = copies.select("content", "first", "copies", F.col("first.row").alias("node"))
-    nodes = texts.select("node").join(
-        rows.select(F.col("row").alias("node"), "keys"), "node")
+    keys = rows.select(F.col("row").alias("node"), "keys")
+    nodes = keys.join(texts.select("node").hint("merge"), "node")
     links, known = _links(nodes, read, least, rounds, shingle, weight)
     ends = links.select(F.col("u").alias("node")).union(links.select("v"))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     # Linked texts with their component; the others are classes of their own.
-    linked = saved(texts.join(known, "node").join(degree, "node", "left").drop("node"))
+    linked = saved(texts.join(known.hint("merge"), "node").join(degree.hint("merge"), "node", "left").drop("node"))
     classes = saved(linked.groupBy("component").agg(
         F.min("first").alias("least"), F.sum("copies").alias("class_size")))
-    in_class = linked.join(classes, "component").select("content", "least", "class_size", "n_links")
-    alone = texts.join(linked.select("content"), "content", "left_anti").select(
+    in_class = linked.join(classes.hint("merge"), "component").select("content", "least", "class_size", "n_links")
+    alone = texts.join(linked.select("content").hint("merge"), "content", "left_anti").select(
         "content", F.col("first").alias("least"), F.col("copies").alias("class_size"),
         F.lit(0).cast("long").alias("n_links"))
     judged = saved(in_class.union(alone))
-    return rows.select("row", "doc_id", "content").join(judged, "content").select(
+    return rows.select("row", "doc_id", "content").join(judged.hint("merge"), "content").select(
         "doc_id", F.col("least.doc_id").alias("class_id"), "class_size",
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         (F.col("row") == F.col("least.row")).alias("kept"), "row")
@@ -328,5 +329,6 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class, all columns as they are."""
+    docs = settled(docs)
     found = near_duplicates(docs, least)
     return without_rows(docs, found.filter(~F.col("kept")), "row")

@@ -2,19 +2,18 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor kept;
 all but the last return the columns of ``documents``. Between stages the rows are
-written as Parquet into the shared checkpoint folder and read again, so a stage reads
+written as Parquet into the shared folder and read again, so a stage reads
 files and a lost executor repeats one stage's tasks at most.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cardlake.llm import exact_dedup, language_id, near_dedup, packing, quality_rules
-from cardlake.llm.common import checkpoint_dir, ship
+from cardlake.llm.common import ship
 from cardlake.llm.queries import tokenizer_path
+from cardlake.plans.session import scratch_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +55,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark)
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
