@@ -8,6 +8,7 @@ task fills its bins on its own, without looking at others.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cardlake.llm.bpe_automaton import CACHE_ENTRIES, read_texts, slices
+from cardlake.llm.bpe_automaton import WORDS, BpeAutomaton, read_texts, slices
 
 END_ID = 1
 # Pieces of exactly a class's size that may be cut from what is left of a document
@@ -25,12 +26,18 @@ END_ID = 1
 CUTS = 1
 
 
+# Letters, digits and signs that both libraries take for the same: see ``TokenizerIds``.
+_PLAIN = re.compile("[^\x00-\u024f]")
+
+
 class TokenizerIds:
-    """Ids by the tokenizers library, each unit between single spaces encoded once.
+    """Ids as the tokenizers library gives them.
 
-    A byte-level word boundary is always before a single space that a word follows,
-    so the ids of a text are those of its units in turn; a text with other white
-    space is encoded as it is.
+    Where the file's ids follow the order of its merges, texts of Latin letters are
+    encoded by tiktoken with the same merges, at a third of the cost; the tests compare
+    the two over that whole range. Texts with other letters, where the libraries may
+    know different versions of Unicode, or with the string of a special token, go to
+    tokenizers itself.
     """
 
     def __init__(self, path: str):
@@ -40,37 +47,35 @@ class TokenizerIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.units: dict[str, bytes] = {}
+        automaton = BpeAutomaton(path)
+        self.special = automaton.splitter
+        self.fast = None
+        made = [(rank, number) for number, rank in enumerate(automaton.made) if rank >= 0]
+        in_order = [number for _, number in sorted(made)]
+        if in_order == sorted(in_order):
+            import tiktoken
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
+            self.fast = tiktoken.Encoding(
+                "plain", pat_str=WORDS.pattern, mergeable_ranks=automaton.ids, special_tokens={})
 
-    def _learn(self, texts: list[list[str]]) -> None:
-        missing = list({u for units in texts for u in units[1:]} - self.units.keys())
-        if len(self.units) + len(missing) > CACHE_ENTRIES:
-            self.units.clear()
-            missing = list({u for units in texts for u in units[1:]})
-        regular = [u for u in missing if u and not u[0].isspace()]
-        self.units.update(zip(regular, self._encode([" " + u for u in regular]), strict=True))
+    def _is_plain(self, text: str) -> bool:
+        special = self.special is not None and self.special.search(text)
+        return self.fast is not None and not special and not _PLAIN.search(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, unsigned 32-bit little-endian."""
-        split = [t.split(" ") for t in texts]
-        self._learn(split)
-        firsts = self._encode([units[0] for units in split])
-        found = []
-        for text, units, first in zip(texts, split, firsts, strict=True):
-            try:
-                found.append(first + b"".join(map(self.units.__getitem__, units[1:])))
-            except KeyError:  # an empty unit, or one that begins with white space
-                found.append(self._encode([text])[0])
-        return found
+        plain = [self._is_plain(t) for t in texts]
+        rest = [t for t, p in zip(texts, plain, strict=True) if not p]
+        slow = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        return [
+            self.fast.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() if p
+            else np.array(next(slow).ids, dtype="<u4").tobytes()
+            for t, p in zip(texts, plain, strict=True)]
 
 
 @lru_cache(maxsize=2)
 def tokenizer_ids(path: str) -> TokenizerIds:
-    """One per Python worker, its units kept from task to task."""
+    """One per Python worker."""
     return TokenizerIds(path)
 
 
