@@ -27,7 +27,7 @@ from cardlake.llm.common import text_or_empty
 
 # Texts handled at a time in a task, and entries a cache may hold.
 TEXTS_EACH = 256
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 
 # Fixed value: the pattern words are split by before byte-level merging.
 WORDS = regex.compile(
@@ -148,7 +148,23 @@ class Irregular(Exception):
     """A text whose white space is not single spaces before words."""
 
 
-class _Pieces(dict):
+class Cache(dict):
+    """What was met lately: when full, entries get old, and those not met again go."""
+
+    def __init__(self, entries: int = CACHE_ENTRIES):
+        super().__init__()
+        self.entries = entries
+        self.old: dict = {}
+
+    def keep(self, key, value):
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class _Pieces(Cache):
     """Ids (unsigned 32-bit, little-endian) of words, encoded when first met."""
 
     def __init__(self, automaton: BpeAutomaton):
@@ -160,13 +176,11 @@ class _Pieces(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[word] = ids = self.encode(word)
-        return ids
+        ids = self.old.get(word)
+        return self.keep(word, self.encode(word) if ids is None else ids)
 
 
-class _Units(dict):
+class _Units(Cache):
     """Ids of what stands between single spaces, with the space before it.
 
     A word boundary is always before a single space that a word follows, so a unit
@@ -180,10 +194,8 @@ class _Units(dict):
     def __missing__(self, unit: str) -> bytes:
         if not unit or unit[0].isspace():
             raise Irregular
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[unit] = ids = self.encode(" " + unit, unit.isalpha())
-        return ids
+        ids = self.old.get(unit)
+        return self.keep(unit, self.encode(" " + unit, unit.isalpha()) if ids is None else ids)
 
 
 class Encoder:
