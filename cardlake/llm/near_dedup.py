@@ -313,10 +313,12 @@ def near_duplicates(
     ends = links.select(F.col("u").alias("node")).union(links.select("v"))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     # Linked texts with their component; the others are classes of their own.
-    linked = saved(texts.join(known.hint("merge"), "node").join(degree.hint("merge"), "node", "left").drop("node"))
+    linked = texts.join(known.hint("merge"), "node")
+    linked = saved(linked.join(degree.hint("merge"), "node", "left").drop("node"))
     classes = saved(linked.groupBy("component").agg(
         F.min("first").alias("least"), F.sum("copies").alias("class_size")))
-    in_class = linked.join(classes.hint("merge"), "component").select("content", "least", "class_size", "n_links")
+    in_class = linked.join(classes.hint("merge"), "component").select(
+        "content", "least", "class_size", "n_links")
     alone = texts.join(linked.select("content").hint("merge"), "content", "left_anti").select(
         "content", F.col("first").alias("least"), F.col("copies").alias("class_size"),
         F.lit(0).cast("long").alias("n_links"))
