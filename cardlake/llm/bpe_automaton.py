@@ -167,8 +167,8 @@ class Cache(dict):
 class _Pieces(Cache):
     """Ids (unsigned 32-bit, little-endian) of words, encoded when first met."""
 
-    def __init__(self, automaton: BpeAutomaton):
-        super().__init__()
+    def __init__(self, automaton: BpeAutomaton, entries: int):
+        super().__init__(entries)
         self.automaton = automaton
 
     def encode(self, word: str) -> bytes:
@@ -187,8 +187,8 @@ class _Units(Cache):
     can be split into words on its own. Others are irregular.
     """
 
-    def __init__(self, encode: Callable[[str, bool], bytes]):
-        super().__init__()
+    def __init__(self, encode: Callable[[str, bool], bytes], entries: int):
+        super().__init__(entries)
         self.encode = encode
 
     def __missing__(self, unit: str) -> bytes:
@@ -201,12 +201,12 @@ class _Units(Cache):
 class Encoder:
     """Whole texts to ids, by words and the automaton."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         self.automaton = BpeAutomaton(path)
-        self.pieces = _Pieces(self.automaton)
-        self.units = _Units(self._by_words)
+        self.pieces = _Pieces(self.automaton, entries)
+        self.units = _Units(self.by_words, entries)
 
-    def _by_words(self, text: str, one_word: bool = False) -> bytes:
+    def by_words(self, text: str, one_word: bool = False) -> bytes:
         """``one_word``: a text of letters with at most one space, before them."""
         if one_word:
             return self.pieces.encode(text)
@@ -218,8 +218,8 @@ class Encoder:
         try:
             rest = b"".join(map(self.units.__getitem__, others))
         except Irregular:
-            return self._by_words(text)
-        return self._by_words(first) + rest
+            return self.by_words(text)
+        return self.by_words(first) + rest
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as unsigned 32-bit little-endian integers."""
@@ -233,9 +233,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, entries: int = CACHE_ENTRIES) -> Encoder:
     """One encoder per Python worker, its tables kept from task to task."""
-    return Encoder(path)
+    return Encoder(path, entries)
 
 
 def coded(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
