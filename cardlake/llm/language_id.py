@@ -27,6 +27,8 @@ SAMPLE_ROWS = 400
 # language's sample have.
 REJECT_SHARE = 0.5
 UNKNOWN = "und"
+# Up to so many languages with their shares are broadcast.
+MAX_BROADCAST_LANGUAGES = 10_000
 
 # Texts of about so many letters are made into vectors at once.
 _LETTERS_EACH = 2_000_000
@@ -175,8 +177,10 @@ def train(
     idf = (np.log((1 + docs) / (1 + frequency)) + 1).astype(np.float32)
 
     counts = rows.groupBy("lang").agg(F.count("*").alias("of_lang"))
-    share = (sample_rows / F.col("of_lang")).alias("share")
-    sample = rows.join(counts.select("lang", share), "lang").filter(
+    shares = saved(counts.select("lang", (sample_rows / F.col("of_lang")).alias("share")))
+    if shares.count() <= MAX_BROADCAST_LANGUAGES:  # else the texts would be shuffled by language
+        shares = F.broadcast(shares)
+    sample = rows.join(shares, "lang").filter(
         in_sample("doc_id", F.col("share"))).select("lang", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
