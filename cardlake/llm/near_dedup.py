@@ -28,8 +28,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # 24 bands of 5 coordinates: of pairs with similarity 0.8, all but 7 in 100,000 share one.
 BANDS, BAND_ROWS = 24, 5
-# Passes over candidates: see ``_links``.
+# Passes that compare rows with leaders before the rest is joined: see ``_links``.
 ROUNDS = 3
+# Sizes of sets in the join of the rest go by classes that grow so; and the counters,
+# at most, by whose sums it orders shingles.
+GROWTH = 1.05
+MAX_COUNTERS = 1 << 22
 # Up to so many row numbers (8 bytes each) are broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -236,14 +240,147 @@ def _led(buckets: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:
     return pairs if tried is None else pairs.join(tried.hint("merge"), ["u", "v"], "left_anti")
 
 
+def _rest(current: DataFrame) -> DataFrame:
+    """(node, component) of the rows of buckets whose pairs are neither all compared nor
+    all connected. A bucket of two rows has been compared."""
+    mixed_ = current.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
+    ).filter("n > 2 and low != high").select("key")
+    return current.join(mixed_.hint("merge"), "key").select("node", "component").distinct()
+
+
+def _counters(sets: DataFrame) -> np.ndarray:
+    """How many sets have a shingle of each counter (by its lowest bits), 0 for only one."""
+    total = sets.agg(F.coalesce(F.sum(F.length("shingles")), F.lit(0)).alias("n")).first()["n"] // 4
+    size = min(MAX_COUNTERS, 1 << max(10, int(total).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.int64)
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                np.add.at(counts, np.frombuffer(packed, "<u4") & np.uint32(size - 1), 1)
+        used = counts.nonzero()[0]
+        for start in range(0, len(used), 100_000):
+            part = used[start:start + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), pa.array(counts[part])], ["place", "n"])
+
+    found = sets.select("shingles").mapInArrow(run, "place long, n long").groupBy("place").agg(
+        F.sum("n").alias("n")).filter("n > 1").toArrow()
+    counts = np.zeros(size, np.int64)
+    counts[found["place"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def size_classes(most: int) -> np.ndarray:
+    """The least size of each class of sizes, beyond ``most``."""
+    low = [1]
+    while low[-1] <= most:
+        low.append(max(low[-1] + 1, int(low[-1] * GROWTH)))
+    return np.array(low, np.int64)
+
+
+def prefix_keys(shingles_: np.ndarray, counters: np.ndarray, least: float):
+    """(key, side) of a set, so that of two sets as similar as ``least`` one has a key
+    at side 0 that the other has at side 1.
+
+    Shingles stand in one order for all sets, the rarest first. Two sets that share
+    enough of them share one among the first of each: how many first ones depends on
+    both sizes, hence on the class of the other's. A key is a shingle and the classes of
+    both, the smaller one at side 0. What no other set has needs no key.
+    """
+    n = len(shingles_)
+    often = counters[shingles_ & np.uint32(len(counters) - 1)]
+    order = np.lexsort((shingles_, often))
+    ordered, often = shingles_[order].astype(U), often[order]
+    low = size_classes(int(n / least) + 1)
+    own = int(np.searchsorted(low, n, "right")) - 1
+    keys, sides = [], []
+    for other in range(len(low) - 1):
+        if low[other + 1] - 1 < least * n - 1e-9 or low[other] * least > n + 1e-9:
+            continue
+        small, large = sorted((own, other))
+        fewest = max(int(low[other]), int(np.ceil(least * n - 1e-9)))
+        shared = int(np.ceil(least / (1 + least) * (n + fewest) - 1e-9))
+        first = ordered[:max(0, n - shared + 1)]
+        first = first[often[:len(first)] > 0]
+        key = mixed(mixed(first + times(1, small)) + times(2, large))
+        for side in (0, 1):
+            if (small, large)[side] == own:
+                keys.append(key)
+                sides.append(np.full(len(key), side, np.int32))
+    return np.concatenate(keys), np.concatenate(sides)
+
+
+def _rest_pairs(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(u, v) of all rows of different components that may be similar, by their rarest
+    shingles (see ``prefix_keys``): no pair as similar as ``least`` is left out.
+
+    Of a key's rows most may be of one component; these are not paired with each other.
+    """
+    shared = rest.sparkSession.sparkContext.broadcast(_counters(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                found = [prefix_keys(np.frombuffer(s, "<u4"), shared.value, least)
+                         for s in part.column(2).to_pylist()]
+                sizes = [len(keys) for keys, _ in found]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate([keys for keys, _ in found]).view(np.int64)),
+                    pa.array(np.concatenate([sides for _, sides in found])),
+                    *(pa.array(np.repeat(part.column(i).to_numpy(), sizes)) for i in (0, 1)),
+                ], ["key", "side", "node", "component"])
+
+    known = rest.join(sets.select(F.col("row").alias("node"), "shingles").hint("merge"), "node")
+    entries = saved(known.select("node", "component", "shingles").mapInArrow(
+        run, "key long, side int, node long, component long"))
+    by_component = entries.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
+    main = by_component.groupBy("key").agg(
+        F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("components"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+    ).filter("components > 1 and low = 0 and high = 1").select(
+        "key", F.col("main.component").alias("main"))
+    live = saved(entries.join(main.hint("merge"), "key").select(
+        "key", "side", "node", "component", (F.col("component") == F.col("main")).alias("usual")))
+
+    def side(number: int, which: str) -> DataFrame:
+        return live.filter(f"side = {number} and {which}").select(
+            "key", F.col("node").alias(f"n{number}"), F.col("component").alias(f"c{number}"))
+
+    def paired(first: str, second: str) -> DataFrame:
+        both = side(0, first).join(side(1, second).hint("merge"), "key")
+        return both.filter("c0 != c1").select(
+            F.greatest("n0", "n1").alias("u"), F.least("n0", "n1").alias("v"))
+
+    return paired("not usual", "true").union(paired("usual", "not usual")).distinct()
+
+
+def _sets_for(nodes: DataFrame, read: DataFrame, size: int, weight: str) -> DataFrame:
+    """``_shingle_sets`` of the rows in ``nodes`` (column row)."""
+    few = nodes.count() <= MAX_BROADCAST_ROWS
+    wanted = F.broadcast(nodes) if few else nodes.hint("shuffle_hash")
+    return saved(_shingle_sets(
+        read.select("row", "text").join(wanted, "row", "left_semi"), size, weight))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    of_u = sets.select(F.col("row").alias("u"), F.col("shingles").alias("a"))
+    of_v = sets.select(F.col("row").alias("v"), F.col("shingles").alias("b"))
+    return saved(_similar(pairs.join(of_u.hint("merge"), "u").join(of_v.hint("merge"), "v"), least))
+
+
 def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: int, weight: str):
     """((u, v) verified links, (node, component)) of nodes with band keys.
 
-    Rows of a bucket are not paired with each other: each is compared with the
+    Rows of a bucket are not paired with each other at first: each is compared with the
     bucket's leader. A bucket whose rows are then in one component needs no more; in
     the others another leader is taken and compared with the rows not connected to
-    it, ``rounds`` times in all. As buckets of different bands have other leaders, a
-    link that one bucket misses shows in another.
+    it, ``rounds`` times at most. The rows of the buckets that still are in several
+    components are then joined by their rarest shingles, which leaves no link out, also
+    where a bucket is crowded by a passage that many texts share.
     """
     keyed = nodes.select("node", F.explode("keys").alias("key"))
     shared = saved(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
@@ -255,16 +392,8 @@ def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: i
         pairs = saved(_led(current, tried, turn))
         if pairs.isEmpty():
             break
-        needed = saved(pairs.select("u").union(pairs.select("v")).distinct())
-        few = needed.count() <= MAX_BROADCAST_ROWS
-        wanted = needed.select(F.col("u").alias("row"))
-        wanted = F.broadcast(wanted) if few else wanted.hint("shuffle_hash")
-        sets = saved(_shingle_sets(
-            read.select("row", "text").join(wanted, "row", "left_semi"), size, weight))
-        of_u = sets.select(F.col("row").alias("u"), F.col("shingles").alias("a"))
-        of_v = sets.select(F.col("row").alias("v"), F.col("shingles").alias("b"))
-        second = pairs.join(of_u.hint("merge"), "u").join(of_v.hint("merge"), "v")
-        found = saved(_similar(second, least))
+        needed = saved(pairs.select(F.col("u").alias("row")).union(pairs.select("v")).distinct())
+        found = _verified(pairs, _sets_for(needed, read, size, weight), least)
         links = found if links is None else links.union(found)
         tried = pairs if tried is None else tried.union(pairs)
         if turn and found.isEmpty():
@@ -273,6 +402,16 @@ def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: i
         current = saved(
             buckets.join(known.hint("merge"), "node", "left").select(
                 "key", "node", F.coalesce("component", "node").alias("component")))
+    rest = saved(_rest(current))
+    if not rest.isEmpty():
+        sets = _sets_for(rest.select(F.col("node").alias("row")), read, size, weight)
+        pairs = _rest_pairs(rest, sets, least)
+        if tried is not None:
+            pairs = pairs.join(tried.hint("merge"), ["u", "v"], "left_anti")
+        found = _verified(saved(pairs), sets, least)
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            known = components(links)
     if links is None:
         empty = spark.createDataFrame([], "u long, v long")
         return empty, spark.createDataFrame([], "node long, component long")

@@ -7,7 +7,7 @@ import pytest
 
 from cardlake.llm.components import components
 from cardlake.llm.near_dedup import (
-    dart_signatures, drop_near_duplicates, near_duplicates, shingles, word_hashes,
+    dart_signatures, drop_near_duplicates, near_duplicates, prefix_keys, shingles, word_hashes,
 )
 
 
@@ -93,6 +93,39 @@ def test_one_group_of_a_third_of_all_rows(make):
     assert found == expected and max(Counter(found.values()).values()) > 250
 
 
+def test_pairs_among_texts_that_share_a_passage(make):
+    """All share three quarters with each other, and two at a time a little more."""
+    passage = [f"p{n}" for n in range(304)]
+    rows = []
+    for pair in range(200):
+        more = [f"m{pair}_{n}" for n in range(14)]
+        for _ in range(2):
+            own = [f"o{len(rows)}_{n}" for n in range(36)]
+            rows.append((len(rows), " ".join(passage + more + own)))
+    found = _found(make(rows))
+    assert found == _classes(rows) == {i: i - i % 2 for i in range(400)}
+
+
+def test_prefix_keys_meet_for_all_similar_sets():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**32, 60, dtype=np.uint32)
+    sets = []
+    for _ in range(150):
+        own = base[rng.random(60) < rng.choice([0.8, 0.9, 0.97])]
+        more = rng.integers(0, 2**32, rng.integers(0, 12), dtype=np.uint32)
+        sets.append(np.unique(np.append(own, more)))
+    for least in (0.5, 0.8, 1.0):
+        counters = np.bincount(np.concatenate(sets) & np.uint32(1023), minlength=1024)
+        counters[counters == 1] = 0
+        found = [prefix_keys(s, counters, least) for s in sets]
+        keys = [set(zip(k.tolist(), side.tolist(), strict=True)) for k, side in found]
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                both = len(np.intersect1d(a, b))
+                if both >= least * (len(a) + len(b) - both):
+                    assert any((k, 1 - side) in keys[j] for k, side in keys[i])
+
+
 def test_nulls_short_texts_ties_and_repeated_rows(odd, none, make):
     docs = make([(4, "a b"), (2, "a  b"), (None, "a b"), (3, "a c"), (9, None), (7, ""), (7, " ")])
     rows = sorted((str(r.doc_id), str(r.class_id), r.class_size, r.kept)
