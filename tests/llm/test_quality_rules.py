@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -94,6 +95,24 @@ def test_good_documents_stay_and_bad_ones_go(spark, sf_dir, documents):
     assert all(good) and np.mean(bad) < 0.6
 
 
+def test_each_share_alone_can_reject(make):
+    """In a group without repeats: copies of lines, and repeated words within the base rule."""
+    def lines(i, n):
+        return [" ".join(f"w{(i * 7919 + k * 31 + j) % 9973}x{k}" for j in range(8)) for k in range(n)]
+
+    rows = [(i, "\n".join(lines(i, 20)), "en", "s") for i in range(300)]
+    copies = random.Random(3).choices([f"w{n}x{n % 10}" for n in range(1000, 1012)], k=80)
+    words = " ".join(lines(402, 20)).split()
+    repeated = " ".join(words[:55] + words[:36] + words[55:124])  # 72 of 160
+    rows += [(400, "\n".join(lines(400, 3) + copies), "en", "s"), (402, repeated, "en", "s")]
+    rows += [(403, "\n".join([*lines(403, 19), lines(403, 1)[0]]), "en", "s")]
+    found = {r.doc_id: r for r in quality_verdicts(make(rows)).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert found[402].n_repeat_words == 72 and found[400].n_dup_lines == 68
+    assert all(found[i].kept for i in [*range(300), 403])
+    assert not found[400].kept and not found[402].kept
+
+
 WORDS = [
     "", " \n", "a b c", "a a a a", "a b c a b c", "a b c x a b c y b c x", "a b a b a",
     "x y z\nx y z\n\nx y z", "# $ %% && a|b <c>", "é é é ñ", "a b c d " * 40,
