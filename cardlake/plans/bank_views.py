@@ -47,7 +47,7 @@ def in_utc(c: Column) -> Column:
 
 def _updated(key: str) -> Column:
     """Update time as ISO text with an offset of four hours."""
-    local = in_utc(F.timestamp_seconds(F.lit(1630844130) + F.col(key)))
+    local = in_utc(F.timestamp_seconds(F.lit(1630829730) + F.col(key)))
     return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("-04:00"))
 
 
