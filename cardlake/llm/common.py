@@ -7,6 +7,7 @@ import re
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from cardlake.plans.session import scratch_folder
 # White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
+# Rows of a small intermediate table that go to one task and file.
+ROWS_EACH = 100_000
 
 
 def ship(spark: SparkSession) -> None:
@@ -34,15 +37,37 @@ def ship(spark: SparkSession) -> None:
     context._cardlake_sent = True
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` computed once and kept as a table in the shared folder, its lineage cut.
 
     A table and no checkpoint: a checkpoint keeps the estimated size of its plan, and in
-    loops the products of the estimates of joins soon fill the driver's memory.
+    loops the products of the estimates of joins soon fill the driver's memory. With
+    ``rows``, what the table has at most, it is made by as many tasks as that needs, and
+    has no more files.
     """
     path = f"{scratch_folder(df.sparkSession)}/table"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df if rows is None else packed(df, rows)).write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._cardlake_folder = path
+    return kept
+
+
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of up to ``rows`` rows, in no more tasks than these need."""
+    return df.coalesce(max(1, -(-rows // ROWS_EACH)))
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete the files of ``saved`` tables that nothing will read again."""
+    for table in tables:
+        path = getattr(table, "_cardlake_folder", None) if table is not None else None
+        if path:
+            spark = table.sparkSession
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            files.delete(place, True)
+            files.cancelDeleteOnExit(place)
+            table._cardlake_folder = None
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -53,39 +78,52 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-# Plans that give their rows in the same order in the same partitions each time.
-_SETTLED = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation", "Range"}
+def on_files(df: DataFrame) -> DataFrame:
+    """``df`` if it only selects from rows of Parquet files, else a kept copy of it."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [re.sub(r"^[\s:+|-]*", "", line) for line in plan.splitlines()]
+    files = [node for node in nodes if re.match(r"Relation .*\bparquet$", node)]
+    others = {re.match(r"\w*", node)[0] for node in nodes if node and node not in files}
+    return df if len(files) == 1 and others <= {"Project", "Filter"} else saved(df)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df``, kept first unless it only reads rows where they stand.
+def with_row(df: DataFrame, name: str) -> DataFrame:
+    """Number the rows by partition and place, for a table that is saved with the numbers.
 
-    A shuffle may give its rows in another order when it is run again, so numbers of
-    rows mean the same only over files or what is kept.
+    Read again, the same table may have other numbers: see ``numbered``.
     """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    nodes = {re.sub(r"^[\s:+|-]*", "", line) for line in plan.splitlines()}
-    names = {re.match(r"\w*", node)[0] for node in nodes if node}
-    return df if names <= _SETTLED else saved(df)
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def with_row(df: DataFrame, name: str) -> DataFrame:
-    """Number the rows by partition and place.
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df``, which is ``on_files``, with a number of each row that stays the same.
 
-    The numbers are the same at each reading of a ``settled`` table.
+    A number is made of the place of the row's file among all paths and of the row's place
+    in its file, so it does not depend on how Spark cuts files into tasks, which follows
+    the number of cores present. Numbers keep the order of files and rows.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    file = df.metadataColumn("_metadata")
+    paths = sorted(r[0] for r in df.select(file["file_path"].alias("p")).distinct().collect())
+    path, number = fresh(df, "file_path"), fresh(df, "file_number")
+    # One row per file of the table, which the driver lists for each scan anyway.
+    places = df.sparkSession.createDataFrame(pa.table({
+        path: pa.array(paths, pa.string()), number: pa.array(range(len(paths)), pa.int64())}))
+    located = df.select("*", file["file_path"].alias(path), file["row_index"].alias(name))
+    return located.join(F.broadcast(places), path).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.shiftleft(F.col(number), 36) + F.col(name)).alias(name))
 
 
 def without_rows(df: DataFrame, dropped: DataFrame, row: str) -> DataFrame:
-    """``df`` without the rows whose number (see ``with_row``) is in ``dropped[row]``.
+    """``df``, which is ``on_files``, without the rows whose number (see ``numbered``) is in
+    ``dropped[row]``.
 
     The numbers are unique, so no key is hot; only the numbers are hashed, the
     texts are streamed past them unsorted.
     """
     name = fresh(df, "row_number")
     keys = dropped.select(F.col(row).alias(name)).hint("shuffle_hash")
-    return with_row(df, name).join(keys, name, "left_anti").drop(name)
+    return numbered(df, name).join(keys, name, "left_anti").drop(name)
 
 
 def text_or_empty(name: str = "text") -> Column:

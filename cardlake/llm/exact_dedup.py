@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm.common import (
-    SPACE_CLASS, fresh, saved, settled, shuffle_partitions, text_or_empty, with_row, without_rows,
+    SPACE_CLASS, fresh, numbered, on_files, saved, shuffle_partitions, text_or_empty, without_rows,
 )
 
 SLOTS = 4
@@ -188,7 +188,7 @@ def normalised(text: str = "text"):
 
 def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(digest, keep_id, keep_row, group_size 1) of each row."""
-    return with_row(docs, fresh(docs, "row")).select(
+    return numbered(on_files(docs), fresh(docs, "row")).select(
         F.unhex(F.sha2(normalised(text), 256)).alias("digest"),
         F.col(doc_id).cast("long").alias("keep_id"),
         F.col(fresh(docs, "row")).alias("keep_row"),
@@ -236,7 +236,7 @@ def find_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     in the table stays. An empty table gives an empty answer; further columns of
     ``docs`` do not matter.
     """
-    rows = saved(digests(settled(docs), text, doc_id))
+    rows = saved(digests(docs, text, doc_id))
     shards = shuffle_partitions(docs.sparkSession, rows.count(), SHARD_ENTRIES)
     index = change_index(None, inserts=rows, shards=shards).select(
         "digest", "keep_id", F.col("keep_row").alias("stays"), "group_size")
@@ -248,6 +248,6 @@ def find_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 def drop_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they are."""
-    docs = settled(docs)
+    docs = on_files(docs)
     found = find_duplicates(docs, text, doc_id)
     return without_rows(docs, found.filter(~F.col("kept")), "row")

@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake.llm.bpe_automaton import slices
-from cardlake.llm.common import fresh, saved, settled, text_or_empty, with_row, without_rows
+from cardlake.llm.common import (
+    ROWS_EACH, forget, fresh, numbered, on_files, packed, saved, text_or_empty, without_rows,
+)
 from cardlake.llm.components import components
 from cardlake.llm.hashing import STEPS, U, mixed, spans, times
 
@@ -29,7 +31,9 @@ SIMILARITY = 0.8
 # 24 bands of 5 coordinates: of pairs with similarity 0.8, all but 7 in 100,000 share one.
 BANDS, BAND_ROWS = 24, 5
 # Passes that compare rows with leaders before the rest is joined: see ``_links``.
-ROUNDS = 3
+ROUNDS = 1
+# Shingle sets that go to one task where rows of the others count ``ROWS_EACH``.
+SETS_EACH = 5_000
 # Sizes of sets in the join of the rest go by classes that grow so; and the counters,
 # at most, by whose sums it orders shingles.
 GROWTH = 1.05
@@ -223,7 +227,7 @@ def _similar(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _led(buckets: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:
+def _led(buckets: DataFrame, entries: int, tried: DataFrame | None, turn: int) -> DataFrame:
     """(u, v): each bucket's rows with its leader, where the two are not connected yet.
 
     ``buckets``: (key, node, component). The first time the leaders are those least by
@@ -234,19 +238,25 @@ def _led(buckets: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:
         F.min(F.struct(order.alias("order"), "node", "component")).alias("leader"),
         F.min("component").alias("low"), F.max("component").alias("high"),
     ).filter("low != high").select(
-        "key", F.col("leader.node").alias("v"), F.col("leader.component").alias("own")))
-    pairs = buckets.join(leaders.hint("merge"), "key").filter("component != own").select(
+        "key", F.col("leader.node").alias("v"), F.col("leader.component").alias("own")), entries)
+    pairs = packed(buckets.join(leaders.hint("merge"), "key"), entries).filter(
+        "component != own").select(
         F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct()
-    return pairs if tried is None else pairs.join(tried.hint("merge"), ["u", "v"], "left_anti")
+    if tried is not None:
+        pairs = pairs.join(tried.hint("merge"), ["u", "v"], "left_anti")
+    kept = saved(pairs, entries)
+    forget(leaders)
+    return kept
 
 
-def _rest(current: DataFrame) -> DataFrame:
+def _rest(current: DataFrame, entries: int) -> DataFrame:
     """(node, component) of the rows of buckets whose pairs are neither all compared nor
     all connected. A bucket of two rows has been compared."""
     mixed_ = current.groupBy("key").agg(
         F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
     ).filter("n > 2 and low != high").select("key")
-    return current.join(mixed_.hint("merge"), "key").select("node", "component").distinct()
+    met = packed(current.join(packed(mixed_, entries).hint("merge"), "key"), entries)
+    return met.select("node", "component").distinct()
 
 
 def _counters(sets: DataFrame) -> np.ndarray:
@@ -333,18 +343,23 @@ def _rest_pairs(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                     *(pa.array(np.repeat(part.column(i).to_numpy(), sizes)) for i in (0, 1)),
                 ], ["key", "side", "node", "component"])
 
-    known = rest.join(sets.select(F.col("row").alias("node"), "shingles").hint("merge"), "node")
+    rows = rest.count()
+    known = packed(
+        rest.join(sets.select(F.col("row").alias("node"), "shingles").hint("merge"), "node"),
+        rows * ROWS_EACH // SETS_EACH)
     entries = saved(known.select("node", "component", "shingles").mapInArrow(
         run, "key long, side int, node long, component long"))
-    by_component = entries.groupBy("key", "component").agg(
-        F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
-    main = by_component.groupBy("key").agg(
+    n = entries.count()
+    by_component = packed(entries.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high")), n)
+    main = saved(by_component.groupBy("key").agg(
         F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("components"),
         F.min("low").alias("low"), F.max("high").alias("high"),
     ).filter("components > 1 and low = 0 and high = 1").select(
-        "key", F.col("main.component").alias("main"))
+        "key", F.col("main.component").alias("main")), n)
     live = saved(entries.join(main.hint("merge"), "key").select(
-        "key", "side", "node", "component", (F.col("component") == F.col("main")).alias("usual")))
+        "key", "side", "node", "component", (F.col("component") == F.col("main")).alias("usual")), n)
+    forget(entries, main)
 
     def side(number: int, which: str) -> DataFrame:
         return live.filter(f"side = {number} and {which}").select(
@@ -352,10 +367,12 @@ def _rest_pairs(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
     def paired(first: str, second: str) -> DataFrame:
         both = side(0, first).join(side(1, second).hint("merge"), "key")
-        return both.filter("c0 != c1").select(
+        return packed(both, live.count()).filter("c0 != c1").select(
             F.greatest("n0", "n1").alias("u"), F.least("n0", "n1").alias("v"))
 
-    return paired("not usual", "true").union(paired("usual", "not usual")).distinct()
+    found = saved(paired("not usual", "true").union(paired("usual", "not usual")).distinct(), n)
+    forget(live)
+    return found
 
 
 def _sets_for(nodes: DataFrame, read: DataFrame, size: int, weight: str) -> DataFrame:
@@ -366,10 +383,13 @@ def _sets_for(nodes: DataFrame, read: DataFrame, size: int, weight: str) -> Data
         read.select("row", "text").join(wanted, "row", "left_semi"), size, weight))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, rows: int, sets: DataFrame, least: float) -> DataFrame:
+    """The similar ones of ``rows`` pairs."""
     of_u = sets.select(F.col("row").alias("u"), F.col("shingles").alias("a"))
     of_v = sets.select(F.col("row").alias("v"), F.col("shingles").alias("b"))
-    return saved(_similar(pairs.join(of_u.hint("merge"), "u").join(of_v.hint("merge"), "v"), least))
+    each = rows * ROWS_EACH // SETS_EACH
+    with_u = packed(pairs.join(of_u.hint("merge"), "u"), each)
+    return saved(_similar(packed(with_u.join(of_v.hint("merge"), "v"), each), least), rows)
 
 
 def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: int, weight: str):
@@ -382,37 +402,53 @@ def _links(nodes: DataFrame, read: DataFrame, least: float, rounds: int, size: i
     components are then joined by their rarest shingles, which leaves no link out, also
     where a bucket is crowded by a passage that many texts share.
     """
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
-    shared = saved(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
-    buckets = saved(keyed.join(shared.hint("merge"), "key").select("key", "node"))
+    keyed = saved(nodes.select("node", F.explode("keys").alias("key")))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    shared = saved(shared, keyed.count())
+    buckets = saved(keyed.join(shared.hint("merge"), "key").select("key", "node"), keyed.count())
+    forget(keyed, shared)
+    entries = buckets.count()
     current = buckets.withColumn("component", F.col("node"))
     links = tried = known = None
-    spark = nodes.sparkSession
     for turn in range(rounds):
-        pairs = saved(_led(current, tried, turn))
-        if pairs.isEmpty():
-            break
-        needed = saved(pairs.select(F.col("u").alias("row")).union(pairs.select("v")).distinct())
-        found = _verified(pairs, _sets_for(needed, read, size, weight), least)
-        links = found if links is None else links.union(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        if turn and found.isEmpty():
+        pairs = _led(current, entries, tried, turn)
+        n = pairs.count()
+        if not n:
+            forget(pairs)
             break
+        needed = saved(
+            pairs.select(F.col("u").alias("row")).union(pairs.select("v")).distinct(), 2 * n)
+        sets = _sets_for(needed, read, size, weight)
+        found = _verified(pairs, n, sets, least)
+        forget(needed, sets)
+        links, old = (found if links is None else saved(links.union(found))), links
+        tried, past = (pairs if tried is None else saved(tried.union(pairs))), tried
+        forget(old, past)
+        if turn:
+            forget(found, pairs)
+        forget(known, current)
         known = components(links)
         current = saved(
             buckets.join(known.hint("merge"), "node", "left").select(
-                "key", "node", F.coalesce("component", "node").alias("component")))
-    rest = saved(_rest(current))
+                "key", "node", F.coalesce("component", "node").alias("component")), entries)
+    rest = saved(_rest(current, entries), entries)
+    forget(current, buckets)
     if not rest.isEmpty():
         sets = _sets_for(rest.select(F.col("node").alias("row")), read, size, weight)
         pairs = _rest_pairs(rest, sets, least)
         if tried is not None:
-            pairs = pairs.join(tried.hint("merge"), ["u", "v"], "left_anti")
-        found = _verified(saved(pairs), sets, least)
+            new = saved(pairs.join(tried.hint("merge"), ["u", "v"], "left_anti"), pairs.count())
+            forget(pairs)
+            pairs = new
+        found = _verified(pairs, pairs.count(), sets, least)
+        forget(pairs, sets)
         if not found.isEmpty():
-            links = found if links is None else links.union(found)
+            links, old = (found if links is None else saved(links.union(found))), links
+            forget(old, known)
             known = components(links)
+    forget(rest, tried)
     if links is None:
+        spark = nodes.sparkSession
         empty = spark.createDataFrame([], "u long, v long")
         return empty, spark.createDataFrame([], "node long, component long")
     return links, known
@@ -437,7 +473,7 @@ def near_duplicates(
     do not matter.
     """
     row = fresh(docs, "row")
-    read = with_row(settled(docs), row).select(
+    read = numbered(on_files(docs), row).select(
         F.col(row).alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
         text_or_empty(text).alias("text"))
     rows = saved(_signed(read, bands, band_rows, shingle, weight))
@@ -445,6 +481,7 @@ def near_duplicates(
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     copies = saved(rows.groupBy("content").agg(
         F.min(order).alias("first"), F.count("*").alias("copies")))
+    n = copies.count()
     texts = copies.select("content", "first", "copies", F.col("first.row").alias("node"))
     keys = rows.select(F.col("row").alias("node"), "keys")
     nodes = keys.join(texts.select("node").hint("merge"), "node")
@@ -452,16 +489,18 @@ def near_duplicates(
     ends = links.select(F.col("u").alias("node")).union(links.select("v"))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     # Linked texts with their component; the others are classes of their own.
-    linked = texts.join(known.hint("merge"), "node")
-    linked = saved(linked.join(degree.hint("merge"), "node", "left").drop("node"))
+    linked = packed(texts.join(known.hint("merge"), "node"), n)
+    linked = saved(linked.join(packed(degree, n).hint("merge"), "node", "left").drop("node"), n)
+    forget(links, known)
     classes = saved(linked.groupBy("component").agg(
-        F.min("first").alias("least"), F.sum("copies").alias("class_size")))
+        F.min("first").alias("least"), F.sum("copies").alias("class_size")), n)
     in_class = linked.join(classes.hint("merge"), "component").select(
         "content", "least", "class_size", "n_links")
     alone = texts.join(linked.select("content").hint("merge"), "content", "left_anti").select(
         "content", F.col("first").alias("least"), F.col("copies").alias("class_size"),
         F.lit(0).cast("long").alias("n_links"))
-    judged = saved(in_class.union(alone))
+    judged = saved(in_class.union(alone), 2 * n)
+    forget(linked, classes, copies)
     return rows.select("row", "doc_id", "content").join(judged.hint("merge"), "content").select(
         "doc_id", F.col("least.doc_id").alias("class_id"), "class_size",
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
@@ -470,6 +509,6 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class, all columns as they are."""
-    docs = settled(docs)
+    docs = on_files(docs)
     found = near_duplicates(docs, least)
     return without_rows(docs, found.filter(~F.col("kept")), "row")

@@ -184,3 +184,23 @@ def test_components_against_union_find(spark):
         root(j) == i and j != i for j in parent)} or set(found) | alone == set(parent)
     assert all(found[i] == root(i) for i in found)
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_components_where_links_lie_in_many_tasks(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(900), rng.randrange(900)) for _ in range(700)]
+    links += [(n, n + 1) for n in range(2000, 2200)]
+    found = components(
+        spark.createDataFrame(links, "u long, v long").repartition(12), links_each=60)
+    parent = {n: n for link in links for n in link}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for u, v in links:
+        a, b = sorted((root(u), root(v)))
+        parent[b] = a
+    expected = {n: root(n) for u, v in links if u != v for n in (u, v)}
+    assert {r.node: r.component for r in found.collect()} == expected
