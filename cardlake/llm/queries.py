@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardlake.llm import (
-    bpe_automaton, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup,
-    packing, quality_classifier, quality_rules, sharding,
+    bpe_automaton, exact_dedup, hard_negatives, language_id, line_dedup, lm_scoring, near_dedup,
+    neighbours, packing, quality_classifier, quality_rules, sharding, vector_codes,
 )
 from cardlake.llm.common import ship
 
@@ -149,3 +150,85 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+# Integer vectors of the rows whose vector is whole.
+WHOLE = """embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+FLOORS = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)"
+
+
+@query("op11_hard_negatives", f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    {FLOORS} AS v
+  FROM embeddings WHERE label IS NOT NULL AND {WHOLE}),
+scored AS (
+  SELECT a.vec_id AS anchor_id, e.vec_id, e.label = a.label AS same,
+    list_sum(list_transform(list_zip(a.v, e.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM e a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, noisy)
+
+
+def _code_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Codebooks c0, c1, ... with the parts assigned to them in a0, a1, ..."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS (
+  SELECT vec_id, label, p, v, min({{'away': away, 'e': e}}) AS best FROM (
+    SELECT x.vec_id, x.label, x.p, x.v, c.e,
+      list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT
+        AS away
+    FROM parts x JOIN c{n} c USING (p)) GROUP BY vec_id, label, p, v)""")
+        if n < rounds:
+            steps.append(f"""
+m{n} AS (
+  SELECT p, e, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+    SELECT p, best.e AS e, i, sum(v[i]) AS total, count(*) AS n
+    FROM a{n}, range(1, 5) r(i) GROUP BY p, best.e, i) GROUP BY p, e),
+c{n + 1} AS (
+  SELECT p, e, coalesce(m{n}.v, c{n}.v) AS v FROM c{n} LEFT JOIN m{n} USING (p, e))""")
+    return ",".join(steps)
+
+
+# Four components a part, as in the given tables.
+@query("op12_vector_codes", f"""
+WITH kept AS (
+  SELECT vec_id, label, {FLOORS} AS v FROM embeddings WHERE {WHOLE}),
+parts AS (
+  SELECT vec_id, label, p, v[4 * p + 1:4 * p + 4] AS v FROM kept, range(16) r(p)),
+first AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64),
+c0 AS (SELECT p, e, v FROM parts JOIN first USING (vec_id)),
+{_code_sql().lstrip()},
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code,
+    sum(best.away)::BIGINT AS error
+  FROM a{vector_codes.ROUNDS} GROUP BY vec_id, label),
+books AS (
+  SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM c{vector_codes.ROUNDS}))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  codebooks_sha256
+FROM coded, books""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_nearest_neighbours")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_by_cosine(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
