@@ -18,10 +18,18 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 # Rows of a small intermediate table that go to one task and file.
 ROWS_EACH = 100_000
+ARROW_ROWS = 500
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once a session: tasks import it there."""
+    """Send this package to the executors, once a session: tasks import it there.
+
+    Rows of texts and sets may be large, so a session's larger Arrow batches, whose bytes
+    Spark does not bound, are lowered to ``ARROW_ROWS``.
+    """
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     context = spark.sparkContext
     if getattr(context, "_cardlake_sent", False):
         return
