@@ -209,6 +209,8 @@ def _searched(tree: Tree, units: np.ndarray, unit, place, k: int, radius: float,
         # The k-th best lies at 2 - 2 * least, squared.
         if within >= radius * max(0.0, 2 - 2 * least):
             break
+    if not rows:
+        return np.empty(0, np.int64), verified
     rows, near = np.concatenate(rows), np.concatenate(near)
     return rows[near >= least - CLOSE], verified
 

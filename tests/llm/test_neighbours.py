@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlake.llm.neighbours import (
-    Cuts, Tree, chi_square, directions, nearest_by_cosine, reach, _box_distances,
+    Cuts, Tree, _box_distances, _searched, chi_square, directions, nearest_by_cosine, reach,
 )
 from tests.llm.vector_cases import cloud, hot, odd, vectors
 
@@ -124,3 +124,13 @@ def test_empty_tables_and_one_row(spark):
     assert nearest_by_cosine(vectors(spark, cloud(3)), anything).count() == 6
     with pytest.raises(ValueError):
         nearest_by_cosine(vectors(spark, cloud(3)), anything, coordinates=5)
+
+
+def test_a_cell_beyond_the_radius_gives_nothing():
+    rng = np.random.default_rng(6)
+    units = rng.normal(size=(200, 16))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    tree = Tree(units @ directions(8, 16))
+    far = (units[0] @ directions(8, 16)) + 50
+    rows, verified = _searched(tree, units, units[0], far, 5, reach(0.95, 8), 0.9)
+    assert len(rows) == 0 and verified == 0
