@@ -31,7 +31,7 @@ SIMILARITY = 0.8
 # 24 bands of 5 coordinates: of pairs with similarity 0.8, all but 7 in 100,000 share one.
 BANDS, BAND_ROWS = 24, 5
 # Passes that compare rows with leaders before the rest is joined: see ``_links``.
-ROUNDS = 1
+ROUNDS = 2
 # Shingle sets that go to one task where rows of the others count ``ROWS_EACH``.
 SETS_EACH = 5_000
 # Sizes of sets in the join of the rest go by classes that grow so; and the counters,
@@ -291,8 +291,8 @@ def size_classes(most: int) -> np.ndarray:
 
 
 def prefix_keys(shingles_: np.ndarray, counters: np.ndarray, least: float):
-    """(key, side) of a set, so that of two sets as similar as ``least`` one has a key
-    at side 0 that the other has at side 1.
+    """(key, side, place) of a set, so that of two sets as similar as ``least`` one has a
+    key at side 0 that the other has at side 1; and the place of its shingle in the order.
 
     Shingles stand in one order for all sets, the rarest first. Two sets that share
     enough of them share one among the first of each: how many first ones depends on
@@ -305,21 +305,21 @@ def prefix_keys(shingles_: np.ndarray, counters: np.ndarray, least: float):
     ordered, often = shingles_[order].astype(U), often[order]
     low = size_classes(int(n / least) + 1)
     own = int(np.searchsorted(low, n, "right")) - 1
-    keys, sides = [], []
+    keys, sides, places = [], [], []
     for other in range(len(low) - 1):
         if low[other + 1] - 1 < least * n - 1e-9 or low[other] * least > n + 1e-9:
             continue
         small, large = sorted((own, other))
         fewest = max(int(low[other]), int(np.ceil(least * n - 1e-9)))
         shared = int(np.ceil(least / (1 + least) * (n + fewest) - 1e-9))
-        first = ordered[:max(0, n - shared + 1)]
-        first = first[often[:len(first)] > 0]
-        key = mixed(mixed(first + times(1, small)) + times(2, large))
+        place = np.flatnonzero(often[:max(0, n - shared + 1)] > 0).astype(np.int32)
+        key = mixed(mixed(ordered[place] + times(1, small)) + times(2, large))
         for side in (0, 1):
             if (small, large)[side] == own:
                 keys.append(key)
                 sides.append(np.full(len(key), side, np.int32))
-    return np.concatenate(keys), np.concatenate(sides)
+                places.append(place)
+    return np.concatenate(keys), np.concatenate(sides), np.concatenate(places)
 
 
 def _rest_pairs(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -336,19 +336,21 @@ def _rest_pairs(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 part = batch.slice(start, 64)
                 found = [prefix_keys(np.frombuffer(s, "<u4"), shared.value, least)
                          for s in part.column(2).to_pylist()]
-                sizes = [len(keys) for keys, _ in found]
+                keys, sides, places = (np.concatenate(f) for f in zip(*found, strict=True))
+                sizes = [len(f[0]) for f in found]
+                ns = np.array([len(s) // 4 for s in part.column(2).to_pylist()], np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([keys for keys, _ in found]).view(np.int64)),
-                    pa.array(np.concatenate([sides for _, sides in found])),
+                    pa.array(keys.view(np.int64)), pa.array(sides), pa.array(places),
+                    pa.array(np.repeat(ns, sizes)),
                     *(pa.array(np.repeat(part.column(i).to_numpy(), sizes)) for i in (0, 1)),
-                ], ["key", "side", "node", "component"])
+                ], ["key", "side", "place", "size", "node", "component"])
 
     rows = rest.count()
     known = packed(
         rest.join(sets.select(F.col("row").alias("node"), "shingles").hint("merge"), "node"),
         rows * ROWS_EACH // SETS_EACH)
     entries = saved(known.select("node", "component", "shingles").mapInArrow(
-        run, "key long, side int, node long, component long"))
+        run, "key long, side int, place int, size int, node long, component long"))
     n = entries.count()
     by_component = packed(entries.groupBy("key", "component").agg(
         F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high")), n)
@@ -358,16 +360,23 @@ def _rest_pairs(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     ).filter("components > 1 and low = 0 and high = 1").select(
         "key", F.col("main.component").alias("main")), n)
     live = saved(entries.join(main.hint("merge"), "key").select(
-        "key", "side", "node", "component", (F.col("component") == F.col("main")).alias("usual")), n)
+        "key", "side", "place", "size", "node", "component",
+        (F.col("component") == F.col("main")).alias("usual")), n)
     forget(entries, main)
 
     def side(number: int, which: str) -> DataFrame:
         return live.filter(f"side = {number} and {which}").select(
-            "key", F.col("node").alias(f"n{number}"), F.col("component").alias(f"c{number}"))
+            F.col("key").alias(f"k{number}"), F.col("place").alias(f"p{number}"),
+            F.col("size").alias(f"s{number}"), F.col("node").alias(f"n{number}"),
+            F.col("component").alias(f"c{number}"))
+
+    # What two sets share comes before the shingle in both, is it, or comes after it.
+    most = "least(p0, p1) + least(s0 - p0, s1 - p1)"
 
     def paired(first: str, second: str) -> DataFrame:
-        both = side(0, first).join(side(1, second).hint("merge"), "key")
-        return packed(both, live.count()).filter("c0 != c1").select(
+        both = side(0, first).join(side(1, second).hint("merge"), F.expr(
+            f"k0 = k1 and c0 != c1 and {1 + least!r}D * ({most}) >= {least!r}D * (s0 + s1) - 1e-6D"))
+        return packed(both, live.count()).select(
             F.greatest("n0", "n1").alias("u"), F.least("n0", "n1").alias("v"))
 
     found = saved(paired("not usual", "true").union(paired("usual", "not usual")).distinct(), n)

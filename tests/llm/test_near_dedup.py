@@ -118,12 +118,16 @@ def test_prefix_keys_meet_for_all_similar_sets():
         counters = np.bincount(np.concatenate(sets) & np.uint32(1023), minlength=1024)
         counters[counters == 1] = 0
         found = [prefix_keys(s, counters, least) for s in sets]
-        keys = [set(zip(k.tolist(), side.tolist(), strict=True)) for k, side in found]
+        keys = [{(k, side): place for k, side, place in zip(*map(np.ndarray.tolist, f), strict=True)}
+                for f in found]
         for i, a in enumerate(sets):
             for j, b in enumerate(sets[:i]):
                 both = len(np.intersect1d(a, b))
                 if both >= least * (len(a) + len(b) - both):
-                    assert any((k, 1 - side) in keys[j] for k, side in keys[i])
+                    met = [(p, keys[j][k, 1 - side]) for (k, side), p in keys[i].items()
+                           if (k, 1 - side) in keys[j]]
+                    assert met and all(
+                        both <= min(p, q) + min(len(a) - p, len(b) - q) for p, q in met)
 
 
 def test_nulls_short_texts_ties_and_repeated_rows(odd, none, make):
