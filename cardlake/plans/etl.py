@@ -6,35 +6,70 @@ import hashlib
 from collections.abc import Callable, Mapping
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.functions import dates, text
-from cardlake.sources import schemas
+from cardlake.plans import summaries
+from cardlake.sources import schemas, versions
 from cardlake.sources.readers import read_json_array, read_json_lines, read_table, split_corrupt
 from cardlake.sources.writers import ensure_database, save_as_table, write_jdbc, write_table
 
 TABLES = ["branch", "credit", "customer", "loan"]
 # How tables are kept: facts in one folder per month, in files that hold ranges of cards
-# (of a card with very many transactions, ranges of these); customers in ranges of their key.
+# (of a card with very many transactions, ranges of these), with Bloom filters of the keys
+# they are not ordered by; customers in ranges of their key.
+ROW_GROUP_VALUES = 500_000
 LAYOUT = {
     "credit": {
         "partition_by": ["txn_month"], "cluster_by": ["CUST_CC_NO", "TRANSACTION_ID"],
         "sort_by": ["CUST_CC_NO", "TRANSACTION_ID"],
+        "bloom": {"TRANSACTION_ID": ROW_GROUP_VALUES, "CUST_SSN": ROW_GROUP_VALUES},
     },
     "customer": {"cluster_by": ["SSN"], "sort_by": ["SSN"]},
 }
+# Below a folder, customers lie in one folder per range of so many keys, so that a batch of
+# edits rewrites the ranges it touches and no others.
+KEY_RANGE = "key_range"
+KEYS_EACH = 1_000_000
 
 # Takes a cleaned table, its name and the mode, stores it, and gives it back as stored,
 # or None where it cannot be read back.
 Sink = Callable[[DataFrame, str, str], DataFrame | None]
 
 
-def path_sink(root: str) -> Sink:
-    """Parquet tables below a folder."""
+def with_key_range(customer: DataFrame, keys_each: int = KEYS_EACH) -> DataFrame:
+    return customer.withColumn(KEY_RANGE, key_range(F.col("SSN"), keys_each))
+
+
+def key_range(ssn: Column, keys_each: int = KEYS_EACH) -> Column:
+    """Number of the range of keys; null for a null key."""
+    return F.floor((ssn - F.pmod(ssn, F.lit(keys_each))) / keys_each).cast("bigint")
+
+
+def path_sink(
+    root: str, keys_each: int = KEYS_EACH, keep: int = 2, summarize: bool = False
+) -> Sink:
+    """Parquet tables below a folder, each switched to at once when it is whole.
+
+    The newest ``keep`` versions stay readable. With ``summarize`` the summaries of the
+    transactions (:mod:`cardlake.plans.summaries`) follow the months that a load changed;
+    all loads of a folder should then ask for it.
+    """
     def store(df: DataFrame, table: str, mode: str) -> DataFrame:
-        write_table(df, f"{root}/{table}", mode=mode, **LAYOUT.get(table, {}))
-        return read_table(df.sparkSession, f"{root}/{table}", df.schema)
+        spark, layout = df.sparkSession, dict(LAYOUT.get(table, {}))
+        schema = df.schema
+        if table == "customer":
+            df = with_key_range(df, keys_each)
+            layout["partition_by"] = [KEY_RANGE]
+            mode = "append" if mode == "append" else "overwrite"
+        before = versions.folders(spark, root, table) or []
+        versions.publish(df, root, table, mode, **layout)
+        versions.vacuum(spark, root, table, keep)
+        stored = versions.read(spark, root, table, df.schema).select(*schema.fieldNames())
+        if table == "credit" and summarize:
+            summaries.refresh(spark, root, before, keep)
+        return stored
     return store
 
 
@@ -202,4 +237,5 @@ def open_table(
     schema = schema or TABLE_SCHEMAS.get(table)
     if schema and other_fields:
         schema += f", {schemas.OTHER_FIELDS} MAP<STRING, STRING>"
-    return read_table(spark, f"{root}/{table}", schema)
+    stored = versions.read(spark, root, table, schema)
+    return stored.drop(KEY_RANGE) if table == "customer" else stored

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from cardlake.functions import checks, dates, text
 from cardlake.operators import loans, lookups, model, rankings, reports, updates
 from cardlake.plans import bank_views as bank
-from cardlake.plans.etl import LAYOUT, load_table, open_table, read_raw
+from cardlake.plans import bucketed, summaries
+from cardlake.plans.edits import edit_customers as edit_stored
+from cardlake.plans.etl import LAYOUT, load_table, open_table, path_sink, read_raw
 from cardlake.plans.session import scratch_folder
-from cardlake.sources import schemas, writers
+from cardlake.sources import schemas, versions, writers
 from cardlake.sources.readers import read_table, split_corrupt
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -992,3 +994,111 @@ def stored_result(spark, sf_dir):
     path = f"{scratch_folder(spark)}/bills"
     writers.write_result(reports.monthly_bills(bank.txn(spark, sf_dir)), path)
     return read_table(spark, path)
+
+
+# --- Tables kept up to date ----------------------------------------------------
+
+
+def _edited(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the customers loaded in ranges of 100 keys, and the batch applied."""
+    root = f"{scratch_folder(spark)}/warehouse"
+    path = _staged(spark, bank.raw_customer(spark, sf_dir))
+    load_table(spark, "customer", path, root, sink=path_sink(root, keys_each=100))
+    stamp = F.lit("2024-01-01T00:00:00Z").cast("timestamp")
+    edit_stored(spark, root, bank.changes(spark, sf_dir), "one", stamp, keys_each=100)
+    return root
+
+
+@query("edit_stored_customers", _UPDATED)
+def edit_stored_customers(spark, sf_dir):
+    """The batch applied to stored customers: only folders with an edited one change."""
+    return _plain(open_table(spark, _edited(spark, sf_dir), "customer"))
+
+
+@query("customers_before_edits", f"""WITH {_CUST}
+SELECT {', '.join(_CUSTOMER_COLUMNS)}, LAST_UPDATED FROM cust""")
+def customers_before_edits(spark, sf_dir):
+    """The version before the edits."""
+    before = versions.read(spark, _edited(spark, sf_dir), "customer", schemas.CUSTOMER, version=1)
+    return _plain(before.drop("key_range"))
+
+
+@query("refused_edits", SQL["quarantined_changes"])
+def refused_edits(spark, sf_dir):
+    """What the edits of stored customers left out, with the reason."""
+    refused = read_table(spark, f"{_edited(spark, sf_dir)}/quarantined/customer")
+    return refused.drop("batch")
+
+
+def _summarized(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the transactions and their summaries; one month is stored twice
+    over, the second time alone, so that its sums are made anew."""
+    root = f"{scratch_folder(spark)}/warehouse"
+    txn = bank.txn(spark, sf_dir)
+    store = path_sink(root, summarize=True)
+    store(txn, "credit", "overwrite")
+    store(txn.filter(F.col("txn_month") == "199804"), "credit", "replace_partitions")
+    return root
+
+
+@query("summary_monthly_bills", SQL["monthly_bills"])
+def summary_monthly_bills(spark, sf_dir):
+    return summaries.monthly_bills(spark, _summarized(spark, sf_dir))
+
+
+@query("summary_top_customers", SQL["top_customers"])
+def summary_top_customers(spark, sf_dir):
+    return summaries.top_customers(spark, _summarized(spark, sf_dir))
+
+
+@query("summary_top_months", SQL["top_months"])
+def summary_top_months(spark, sf_dir):
+    return summaries.top_months(spark, _summarized(spark, sf_dir))
+
+
+@query("summary_domains", f"""WITH {_TXN}
+SELECT DISTINCT 'TRANSACTION_TYPE' AS field, TRANSACTION_TYPE AS value FROM txn
+UNION ALL SELECT DISTINCT 'year', substr(TIMEID, 1, 4) FROM txn
+UNION ALL SELECT DISTINCT 'BRANCH_CODE', CAST(BRANCH_CODE AS VARCHAR) FROM txn
+UNION ALL SELECT DISTINCT 'CUST_SSN', CAST(CUST_SSN AS VARCHAR) FROM txn
+UNION ALL SELECT DISTINCT 'CUST_CC_NO', CUST_CC_NO FROM txn""")
+def summary_domains(spark, sf_dir):
+    """All known values of the transactions, without a scan of these."""
+    known = summaries.open_summary(spark, _summarized(spark, sf_dir), "known_values")
+    return known.select("field", "value").distinct()
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> str:
+    location = scratch_folder(spark)
+    database = location.rsplit("/", 1)[1].replace("-", "_")
+    bucketed.store_bucketed(
+        spark, bank.txn(spark, sf_dir), bank.customer(spark, sf_dir), database, 16, location)
+    return database
+
+
+@query("branch_state_totals_bucketed", SQL["branch_state_totals"])
+def branch_state_totals_bucketed(spark, sf_dir):
+    """Customers too many for a broadcast, but in the buckets of the transactions."""
+    totals = bucketed.matched_totals(
+        spark, _bucketed(spark, sf_dir), bank.branch(spark, sf_dir), "BRANCH_STATE")
+    return totals.select(
+        "BRANCH_STATE", F.col("n").alias("total_number"),
+        reports.rounded(F.col("total")).alias("total_amount"))
+
+
+@query("join_customer_bucketed", SQL["join_customer"])
+def join_customer_bucketed(spark, sf_dir):
+    """Every transaction with its customer, neither side shuffled."""
+    rows = bucketed.join_customer(spark, _bucketed(spark, sf_dir))
+    return _plain(rows.select(
+        "TRANSACTION_ID", "BRANCH_CODE", "TIMEID", "TRANSACTION_VALUE", "SSN", "LAST_NAME"))
+
+
+@query("stored_transaction", f"""WITH {_TXN}
+SELECT {_TXN_COLUMNS} FROM txn WHERE TRANSACTION_ID = 1378""")
+def stored_transaction(spark, sf_dir):
+    """Rows of one transaction number, by which the files are not ordered: row groups
+    whose Bloom filter does not hold it are passed over."""
+    path = f"{scratch_folder(spark)}/credit"
+    writers.write_table(bank.txn(spark, sf_dir), path, **LAYOUT["credit"])
+    return _txn_rows(read_table(spark, path, schemas.CREDIT).filter(F.col("TRANSACTION_ID") == 1378))

@@ -6,42 +6,54 @@ import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from cardlake.sources.schemas import CORRUPT_COLUMN, OTHER_FIELDS
 
 
+def _field(name: str) -> str:
+    """Path of a top-level field within a variant."""
+    quote = "'" if '"' in name else '"'
+    return f"$[{quote}{name}{quote}]"
+
+
 def _records(lines: DataFrame, schema: str) -> DataFrame:
     """Records of texts ``value`` that hold one JSON object each.
 
-    Parsing has options set, so which records are bad does not depend on the columns
-    asked for later.
+    A text is parsed once, into a variant, whatever is asked for later: the step that
+    does it makes rows, which filters on the outcome are not moved below. Declared
+    and further fields are taken out of the variant. A record is bad if its text is no
+    object or if a declared field has a value that its type cannot hold.
     """
     declared = StructType.fromDDL(schema)
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    parsed = F.from_json("value", f"{schema}, {CORRUPT_COLUMN} STRING", options)
-    others = F.map_filter(
-        F.from_json("value", "map<string,string>", options),
-        lambda name, _: ~name.isin(declared.fieldNames()),
-    )
-    read = lines.select("value", parsed.alias("parsed"), others.alias("others"))
-    # Text that is JSON but no object gives nothing at all.
-    bad = F.coalesce(
-        F.col(f"parsed.{CORRUPT_COLUMN}"), F.when(F.col("parsed").isNull(), F.col("value"))
-    )
+    record = F.col("_record")
+    read = lines.select("value", F.explode(F.array(F.try_parse_json("value"))).alias("_record"))
+    columns, failed = [], F.lit(False)
+    for field in declared:
+        got = F.try_variant_get(record, _field(field.name), field.dataType.simpleString())
+        there = F.try_variant_get(record, _field(field.name), "variant")
+        lost = got.isNull() & there.isNotNull() & ~F.is_variant_null(there)
+        if isinstance(field.dataType, IntegralType):  # a fraction would be cut off
+            lost = lost | (F.try_variant_get(record, _field(field.name), "double") != got)
+        columns.append(got.alias(field.name))
+        failed = failed | F.coalesce(lost, F.lit(False))
+    fields = F.try_variant_get(record, "$", "map<string,variant>")
+    others = F.map_filter(fields, lambda name, _: ~name.isin(declared.fieldNames()))
+    as_text = F.transform_values(others, lambda _, v: F.try_variant_get(v, "$", "string"))
+    bad = F.when(fields.isNull() | failed, F.col("value"))
     return read.select(
-        *[F.col("parsed")[name].alias(name) for name in declared.fieldNames()],
-        F.when(F.size("others") > 0, F.col("others")).alias(OTHER_FIELDS),
-        bad.alias(CORRUPT_COLUMN),
-    )
+        *columns, F.when(F.size(others) > 0, as_text).alias(OTHER_FIELDS),
+        bad.alias(CORRUPT_COLUMN))
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """JSON, one record per line; files are split between tasks.
 
-    Lines that do not parse come back with null fields and their text in
-    ``_corrupt_record``. Fields that the schema does not name are kept as text in the
-    map ``other_fields``, null where there are none. Blank lines are no records.
+    Lines that do not parse come back with null fields, lines with a value that does not
+    fit its type with a null there, and both with their text in ``_corrupt_record``. Numbers
+    written as text are read as numbers, and a name that comes twice makes a line bad.
+    Fields that the schema does not name are kept as text in the map ``other_fields``, null
+    where there are none. Blank lines are no records.
     """
     lines = spark.read.text(path).filter(F.col("value").rlike(r"\S"))
     return _records(lines, schema)

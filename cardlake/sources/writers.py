@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -13,7 +13,7 @@ _VERSIONS = "version BIGINT, path STRING, committed_at TIMESTAMP"
 
 def _laid_out(
     df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], mode: str,
-    cluster_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (), bloom: Mapping[str, int] | None = None,
 ) -> DataFrameWriter:
     if cluster_by:
         # Ranges: a key lies in one file, or in a few where the columns after it cut a
@@ -29,6 +29,9 @@ def _laid_out(
         # skip row groups and pages by min/max of the look-up keys.
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.format("parquet")
+    for column, values in (bloom or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True).option(
+            f"parquet.bloom.filter.expected.ndv#{column}", values)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if mode == "replace_partitions":
@@ -39,13 +42,17 @@ def _laid_out(
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
     mode: str = "overwrite", cluster_by: Sequence[str] = (),
+    bloom: Mapping[str, int] | None = None,
 ) -> None:
     """Write a Parquet table; with ``cluster_by`` in files that hold ranges of these columns.
 
+    ``bloom`` names columns that the files are not clustered by but are looked up, with
+    the different values a row group may have: each row group then has a Bloom filter of
+    some ten bits a value, and a reader passes over those that do not hold the value asked.
     ``overwrite`` and ``replace_partitions`` (only the folders that occur in
     ``df``) give the same table when run again; ``append`` adds the rows again.
     """
-    _laid_out(df, partition_by, sort_by, mode, cluster_by).save(path)
+    _laid_out(df, partition_by, sort_by, mode, cluster_by, bloom).save(path)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -59,9 +66,10 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
 def save_as_table(
     df: DataFrame, name: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
     mode: str = "overwrite", cluster_by: Sequence[str] = (),
+    bloom: Mapping[str, int] | None = None,
 ) -> None:
     """Write a catalog table, laid out as by :func:`write_table`."""
-    _laid_out(df, partition_by, sort_by, mode, cluster_by).saveAsTable(name)
+    _laid_out(df, partition_by, sort_by, mode, cluster_by, bloom).saveAsTable(name)
 
 
 def write_jdbc(

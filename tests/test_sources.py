@@ -200,3 +200,40 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         scratch_folder(Cluster())
+
+
+def test_each_text_is_parsed_once(spark, tmp_path, capsys):
+    path = tmp_path / "a.json"
+    path.write_text('{"a": 1}\n')
+    good, bad = readers.split_corrupt(
+        readers.read_json_lines(spark, str(path), "a BIGINT, b STRING, c INT"))
+    for asked in (good, bad, good.filter("a = 1"), good.filter("b = 'x'").select("c")):
+        asked.explain("extended")
+        optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Phys")[0]
+        assert optimized.count("parseJson") == 1
+
+
+def test_values_that_do_not_fit_their_type(spark, tmp_path):
+    path = tmp_path / "a.json"
+    path.write_text("\n".join([
+        '{"n": 1, "d": 1.234, "t": "x"}', '{"n": "2", "d": "3.5", "t": 7}', '{"n": 2.5}', '{"n": 3.0}',
+        '{"n": 99999999999999999999}', '{"d": "x"}', '{"t": {"k": [1, "}"]}}', '{"n": null, "t": null}',
+        '{"n": 1, "n": 2}', '[1]', '"text"', '{}', '{"t": ""}', '{"it\'s": 1.50, "n": 4}',
+    ]))
+    found = readers.read_json_lines(spark, str(path), "n INT, d DECIMAL(18,2), t STRING")
+    good, bad = readers.split_corrupt(found)
+    assert [tuple(map(str, r)) for r in good.collect()] == [
+        ("1", "1.23", "x", "None"), ("2", "3.50", "7", "None"), ("3", "None", "None", "None"),
+        ("None", "None", '{"k":[1,"}"]}', "None"), ("None",) * 4, ("None",) * 4,
+        ("None", "None", "", "None"), ("4", "None", "None", "{\"it's\": '1.5'}")]
+    assert [r["_corrupt_record"] for r in bad.collect()] == [
+        '{"n": 2.5}', '{"n": 99999999999999999999}', '{"d": "x"}', '{"n": 1, "n": 2}', '[1]', '"text"']
+
+
+def test_nested_and_oddly_named_fields(spark, tmp_path):
+    path = tmp_path / "a.json"
+    path.write_text('{"a b": {"x": 1}, "c.d": [1, 2], "it\'s": "y", "e": "2018-04-18T16:51:47.000-04:00"}\n')
+    found = readers.read_json_lines(
+        spark, str(path), "`a b` STRUCT<x: INT>, `c.d` ARRAY<INT>, `it's` STRING, e TIMESTAMP")
+    row = found.select(F.col("`a b`.x"), F.col("`c.d`"), F.col("`it's`"), F.unix_timestamp("e")).first()
+    assert tuple(row) == (1, [1, 2], "y", 1524084707)
