@@ -23,9 +23,13 @@ BITS = 12
 CLUSTERS = 6
 # Rows per language, on average, that the centroids are made from.
 SAMPLE_ROWS = 400
-# A text is rejected below this share of the least similarity that all but 1 % of its
-# language's sample have.
-REJECT_SHARE = 0.5
+# A centroid near which fewer of its language's rows lie is noise.
+LEAST_SHARE = 0.03
+# The least similarity of a language lies so far up from what texts of other languages have
+# with it (their 99 % quantile) to what its own have (their 1 % quantile).
+BAR = 0.4
+# Short texts are less similar to everything: of n letter groups, by sqrt(n / (n + this)).
+HALF_GROUPS = 100
 UNKNOWN = "und"
 # Up to so many languages with their shares are broadcast.
 MAX_BROADCAST_LANGUAGES = 10_000
@@ -120,7 +124,12 @@ class LanguageModel:
         best = near.argmax(axis=1)
         score = np.clip(near[np.arange(len(texts)), best], 0.0, 1.0) * some
         languages = [self.languages[i] if s else UNKNOWN for i, s in zip(best, some, strict=True)]
-        return languages, score.astype(float), ~some | (score < self.least[best])
+        bar = self.least[best] * _length_factor(counts.sum(axis=1))
+        return languages, score.astype(float), ~some | (score < bar)
+
+
+def _length_factor(groups: np.ndarray) -> np.ndarray:
+    return np.sqrt(groups / (groups + HALF_GROUPS))
 
 
 def clustered(vectors: np.ndarray, clusters: int, rounds: int = 12) -> np.ndarray:
@@ -147,8 +156,11 @@ def train(
     """A model of the rows with a language.
 
     Document frequencies count every row. The centroids and least similarities of a
-    language come from about ``sample_rows`` of its rows, taken by hash of the id. Rows
-    with a null language or text are left out; without any the model knows no language.
+    language come from about ``sample_rows`` of its rows, taken by hash of the id, of
+    rows with the same id one. Each language is clustered in a task of its own; the
+    driver gets the centroids, ``clusters`` per language, and some numbers per sampled
+    row. Rows with a null language or text are left out; without any the model knows no
+    language.
     """
     rows = labelled.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"),
@@ -180,54 +192,107 @@ def train(
     shares = saved(counts.select("lang", (sample_rows / F.col("of_lang")).alias("share")))
     if shares.count() <= MAX_BROADCAST_LANGUAGES:  # else the texts would be shuffled by language
         shares = F.broadcast(shares)
-    sample = rows.join(shares, "lang").filter(
-        in_sample("doc_id", F.col("share"))).select("lang", "text")
+    sample = rows.join(shares, "lang").filter(in_sample("doc_id", F.col("share"))).groupBy(
+        "lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in _parts(batch):
                 found, some = _groups(texts, bits)
                 rows_ = [v.tobytes() for v in _vectors(found, idf)[some].astype(np.float16)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).filter(pa.array(some)), pa.array(rows_, pa.binary())],
-                    ["lang", "vector"])
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0).filter(pa.array(some)), pa.array(rows_, pa.binary()),
+                    pa.array(_length_factor(found.sum(axis=1))[some].astype(float))],
+                    ["lang", "vector", "factor"])
+
+    kept = saved(sample.mapInArrow(vectors, "lang string, vector binary, factor double"))
+
+    def clusters_of(table: pa.Table) -> pa.Table:
+        rows_ = _stacked(sorted(table["vector"].to_pylist()))
+        found = clustered(rows_, clusters)
+        return pa.table({"lang": [table["lang"][0].as_py()] * len(found),
+                         "centroid": pa.array([c.tobytes() for c in found], pa.binary())})
+
+    made = sorted(kept.groupBy("lang").applyInArrow(
+        clusters_of, "lang string, centroid binary").collect())
+    owners = [r["lang"] for r in made]
+    centroids = np.stack([np.frombuffer(r["centroid"], np.float32) for r in made]) if made else (
+        np.zeros((0, 1 << bits), np.float32))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                best = (_stacked(batch.column(1).to_pylist()) @ centroids.T).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best)], ["lang", "place"])
+
+    met = kept.mapInArrow(nearest, "lang string, place long").groupBy("lang", "place").count()
+    stays = supported(owners, [(r["lang"], r["place"], r["count"]) for r in met.collect()])
+    centroids, owners = centroids[stays], [k for k, s in zip(owners, stays, strict=True) if s]
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.array(owners)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lang = np.array(batch.column(0).to_pylist())
+            near = _stacked(batch.column(1).to_pylist()) @ centroids.T / (
+                batch.column(2).to_numpy()[:, None])
+            mine = names[None] == lang[:, None]
+            own, others = np.where(mine, near, -1.0), np.where(mine, -1.0, near)
+            other = others.argmax(axis=1)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(own.max(axis=1)), pa.array(names[other].tolist()),
+                pa.array(others.max(axis=1))], ["lang", "own", "other", "foreign"])
 
-    kept = saved(sample.mapInArrow(vectors, "lang string, vector binary"))
-    # The languages that occur, one at a time: each a sample of bounded size.
-    samples = {}
-    for language in sorted(r["lang"] for r in kept.select("lang").distinct().collect()):
-        own = kept.filter(F.col("lang") == language).select("vector").collect()
-        samples[language] = np.stack([np.frombuffer(r["vector"], np.float16) for r in sorted(own)])
-    languages, centroids, least = _centroids(samples, clusters)
-    return LanguageModel(idf, centroids.reshape(len(languages), 1 << bits), languages, least, bits)
+    measured = kept.mapInArrow(similar, "lang string, own double, other string, foreign double")
+    # Four values per sampled row.
+    least = least_similarities([tuple(r) for r in measured.collect()])
+    return LanguageModel(idf, centroids, owners, np.array([least[k] for k in owners]), bits)
 
 
-def _centroids(samples: dict[str, np.ndarray], clusters: int):
-    """(language of each centroid, centroids, least similarities) of vectors by language.
+def _stacked(packed: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(v, np.float16) for v in packed]).astype(np.float32)
+
+
+def supported(owners: list[str], met: list[tuple[str, int, int]]) -> np.ndarray:
+    """Which centroids stay, of rows met (language, nearest centroid, how many rows).
 
     Some rows bear a wrong language, and together they make a cluster: a centroid
     stays only if of the rows nearest to it, each language counted by its share, most
-    are of its own language. A language keeps its most frequent centroid at least.
+    are of its own language, and if these are ``LEAST_SHARE`` of the language. A language
+    keeps its most frequent centroid at least.
     """
-    found = {k: clustered(v.astype(np.float32), clusters) for k, v in samples.items()}
-    owners = [k for k, v in found.items() for _ in v]
-    whole = np.concatenate(list(found.values())) if found else np.zeros((0, 0), np.float32)
-    support = np.zeros((len(owners), len(found)))
-    for column, rows in enumerate(samples.values()):
-        nearest = (rows.astype(np.float32) @ whole.T).argmax(axis=1)
-        support[:, column] = np.bincount(nearest, minlength=len(owners)) / len(rows)
-    own = np.array([support[i, list(found).index(k)] for i, k in enumerate(owners)])
-    stays = own > 0.5 * support.sum(axis=1)
-    for language in found:
+    rows: dict[str, int] = {}
+    for language, _, n in met:
+        rows[language] = rows.get(language, 0) + n
+    own, whole = np.zeros(len(owners)), np.zeros(len(owners))
+    for language, place, n in met:
+        whole[place] += n / rows[language]
+        own[place] += n / rows[language] if owners[place] == language else 0
+    stays = (own > 0.5 * whole) & (own >= LEAST_SHARE)
+    for language in rows:
         members = np.array([i for i, k in enumerate(owners) if k == language])
         stays[members[own[members].argmax()]] = True
-    kept = [k for k, s in zip(owners, stays, strict=True) if s]
-    whole = whole[stays]
-    least = {}
-    for language, rows in samples.items():
-        near = rows.astype(np.float32) @ whole[[k == language for k in kept]].T
-        least[language] = REJECT_SHARE * float(np.quantile(near.max(axis=1), 0.01))
-    return kept, whole, np.array([least[k] for k in kept])
+    return stays
+
+
+def least_similarities(measured: list[tuple[str, float, str, float]]) -> dict[str, float]:
+    """The bar of each language, from rows (language, similarity with its own centroids,
+    the other language nearest, similarity with that), each as of a long text.
+
+    Only rows that lie nearest to their own language tell what is usual: others may bear
+    a wrong one.
+    """
+    right = [m for m in measured if m[1] >= m[3]]
+    bars = {}
+    for language in {m[0] for m in measured}:
+        own = [m[1] for m in right if m[0] == language] or [
+            m[1] for m in measured if m[0] == language]
+        foreign = [m[3] for m in right if m[2] == language and m[0] != language]
+        low = float(np.quantile(own, 0.01))
+        high = max(0.0, float(np.quantile(foreign, 0.99))) if foreign else 0.0
+        bars[language] = min(low, high + BAR * (low - high))
+    return bars
 
 
 def predicted(

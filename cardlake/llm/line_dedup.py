@@ -38,7 +38,7 @@ def lines_of(html: Column) -> Column:
 
 
 def drop_boilerplate(
-    pages: DataFrame, ratio: float = 0.3, min_pages: int = 3,
+    pages: DataFrame, ratio: float = 0.3, min_pages: int = 2,
     page_id: str = "page_id", url: str = "url", html: str = "html",
 ) -> DataFrame:
     """One row per row of ``pages``: page_id, host, host_pages, n_lines, n_dropped, text.
@@ -52,11 +52,12 @@ def drop_boilerplate(
     Lines are counted once per page and summed in the map tasks, so a line of all
     pages is shuffled once per task; more than ``ratio`` of the pages have it, hence a
     host has at most (lines per page) / ratio boilerplate lines, kept as one array of
-    digests. The join with the pages is one that Spark can split for a large host.
+    digests. The join with the pages is one that Spark can split for a large host. The
+    lines are kept between the two passes, as to find them costs more than to read them.
     """
-    lined = pages.select(
+    lined = saved(pages.select(
         F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"),
-        lines_of(F.col(html)).alias("lines"))
+        lines_of(F.col(html)).alias("lines")))
     digest = lambda line: F.unhex(F.md5(line))
     per_page = lined.select("host", F.explode(
         F.array_distinct(F.transform("lines", digest))).alias("line"))

@@ -10,17 +10,18 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.llm.bpe_automaton import read_texts, slices
-from cardlake.llm.common import id_remainder, in_sample, saved
+from cardlake.llm.common import id_remainder, in_sample
 
-# Rows of each label, on average, that the dictionaries are made from, the bytes of a
-# label's sample, and rows that the scores are calibrated with.
+# Rows of each label, on average, that the dictionaries are made from, and rows that the
+# scores are calibrated with.
 SAMPLE_ROWS = 1500
-SAMPLE_BYTES = 24 << 20
 CALIBRATION_ROWS = 4000
+# Of a text to learn from that is longer than so many parts of so many characters, these.
+PARTS, PART = 4, 2048
 DICTIONARY_BYTES = 64 << 10
 # A dictionary acts at the begin of what is compressed, so texts go in parts of this size.
 PART_BYTES = 2048
@@ -100,6 +101,14 @@ def calibrated(measures: np.ndarray, labels: np.ndarray) -> tuple[float, float,
     return float(line[0] / scale[0]), float(line[1] / scale[1]), float(line[2])
 
 
+def evenly_cut(text: str) -> Column:
+    """A text of up to ``PARTS`` times ``PART`` characters, or so many evenly spaced parts."""
+    length = F.length(text)
+    step = F.floor((length - PART) / (PARTS - 1)).cast("int")
+    parts = F.concat(*[F.substring(F.col(text), 1 + n * step, F.lit(PART)) for n in range(PARTS)])
+    return F.when(length <= PARTS * PART, F.col(text)).otherwise(parts)
+
+
 def train(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id",
     quality: str = "quality",
@@ -107,9 +116,10 @@ def train(
     """A model of the labelled rows.
 
     The dictionaries come from about ``SAMPLE_ROWS`` rows of each label, taken by hash
-    of the id, and of these up to ``SAMPLE_BYTES``; the line from about
-    ``CALIBRATION_ROWS`` other rows in their natural mixture. Rows with a null text or
-    label are left out. Without texts of both labels all scores are the smoothed
+    of the id; the line from about ``CALIBRATION_ROWS`` other rows in their natural
+    mixture. Of a long text evenly spaced parts are learned from (scores are of whole
+    texts); of several texts with one id the least. Rows with a null text or label are
+    left out. Without texts of both labels all scores are the smoothed
     share of label 1 (0.5 where there is no label).
     """
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(quality).cast("int").alias("label"))
@@ -127,12 +137,11 @@ def train(
     for_line = ~in_sample("doc_id", share) & in_sample("doc_id", CALIBRATION_ROWS / rows, salt=1)
     chosen = known.withColumn("made", in_sample("doc_id", share)).filter(F.col("made") | for_line)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # A broadcast of some ids and labels: their number is bounded by the sample's.
-    sample = saved(texts.join(F.broadcast(chosen), "doc_id").filter(F.col("text").isNotNull()))
-    # The sample is bounded in rows; this bounds its bytes.
-    so_far = F.sum(F.octet_length("text")).over(
-        Window.partitionBy("made", "label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    bounded = sample.withColumn("so_far", so_far).filter(F.col("so_far") <= SAMPLE_BYTES).collect()
+    # A broadcast of some ids and labels: their number is bounded by the sample's. With one
+    # text for each, of bounded length, the sample is as well.
+    sample = texts.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    bounded = sample.groupBy("doc_id", "made", "label").agg(
+        F.min(evenly_cut("text")).alias("text")).collect()
     made = {k: sorted(r["text"] for r in bounded if r["made"] and r["label"] == k) for k in (0, 1)}
     if not (made[0] and made[1]):
         return unskilled

@@ -3,7 +3,9 @@
 The statistics of a text, transformed to be about normal, make a vector. For each
 language and source a minimum-covariance-determinant estimate (centre and scatter of
 the half and more of the vectors that lie closest together) says what is usual, and
-vectors too far from it by Mahalanobis distance are rejected.
+vectors too far from it by Mahalanobis distance are rejected. A text's own counting noise
+is added to the scatter: what is said by a few words or lines says little, and a
+statistic that is zero in nearly all texts has no scatter of its own.
 """
 
 from __future__ import annotations
@@ -15,12 +17,8 @@ from cardlake.llm.common import SPACES, fresh, let, saved, text_or_empty, words_
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-# Names of the coordinates, and the least standard deviation believed of each: counts
-# that are nearly always 0 would else have none. Those of the two shares are so low that
-# in a group that has none, 45 % of repeated words (the base rule allows 50 %) or 80 % of
-# the lines being copies are beyond the cutoff.
-COORDINATES = ["word_length", "symbols", "dup_lines", "repeats"]
-FLOORS = [0.06, 0.025, 0.11, 0.082]
+# Words that one repeat adds to those in repeated windows: three, and the three before.
+REPEAT_WORDS = 6
 # Share of the rows that the centre and scatter are taken from, and what makes the
 # scatter of that share of normal vectors in 4 dimensions a whole one: 0.75 over
 # P(chi2 of 6 <= 5.3853), where 5.3853 is the 0.75 quantile of chi2 of 4.
@@ -28,16 +26,16 @@ SHARE = 0.75
 CONSISTENCY = 0.75 / 0.5045
 # 0.975 quantile of chi2 of 4: rows up to here make the last estimate.
 REWEIGHT = 11.1433
-# Squared distance beyond which a row is rejected: about 8 standard deviations, so that
-# of usual texts practically none is.
-CUTOFF = 64.0
+# Squared distance beyond which a row is rejected: chi2 of 4 exceeds it once in ten million.
+CUTOFF = 38.2
 # Rows a language and source need for an estimate of their own.
-MIN_ROWS = 200
+MIN_ROWS = 25
 STEPS = 3
 # Up to so many estimates are broadcast (some 300 bytes each).
 MAX_BROADCAST_GROUPS = 30_000
 
-_DIMENSIONS = range(len(COORDINATES))
+# Length of words, and shares of symbols, of copied lines and of repeated words.
+_DIMENSIONS = range(4)
 
 
 def repeated_words(words: Column) -> Column:
@@ -98,13 +96,18 @@ def statistics(docs: DataFrame, text: str, carried: list[Column]) -> DataFrame:
 
 
 def vector() -> list[Column]:
-    """The transformed statistics: logarithm of a length, roots of shares."""
+    """The transformed statistics, logarithm of a length and roots of shares, and the
+    variance each has from counting alone: that of a root of a share k/n is 1/(4n)."""
     words = F.greatest(F.col("n_words"), F.lit(1))
+    chars = F.greatest(F.col("word_chars"), F.lit(1))
+    lines = F.greatest(F.col("n_lines"), F.lit(1))
     return [
-        F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words).alias("x0"),
-        F.sqrt(F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))).alias("x1"),
-        F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))).alias("x2"),
+        F.log(chars / words).alias("x0"),
+        F.sqrt(F.col("n_symbols") / chars).alias("x1"),
+        F.sqrt(F.col("n_dup_lines") / lines).alias("x2"),
         F.sqrt(F.col("n_repeat_words") / words).alias("x3"),
+        (0.25 / words).alias("v0"), (0.25 / chars).alias("v1"), (0.25 / lines).alias("v2"),
+        (0.25 * REPEAT_WORDS / words).alias("v3"),
     ]
 
 
@@ -135,47 +138,30 @@ def _joined(rows: DataFrame, table: DataFrame, key: str, size: int, how: str = "
     return rows.join(F.broadcast(table) if size <= MAX_BROADCAST_GROUPS else table, key, how)
 
 
-def _distance() -> Column:
-    """Squared Mahalanobis distance, from the inverse of the scatter's Cholesky factor."""
-    def along(i: int) -> Column:
-        terms = [F.col(f"w{i}{j}") * (F.col(f"x{j}") - F.col(f"m{j}")) for j in range(i + 1)]
-        total = terms[0]
-        for term in terms[1:]:
-            total = total + term
-        return total * total
-
-    distance = along(0)
-    for i in _DIMENSIONS[1:]:
-        distance = distance + along(i)
-    return distance
-
-
-def _factored(estimates: DataFrame) -> DataFrame:
-    """(grp, m*, w*) of (grp, m*, s*): w is the inverse of the Cholesky factor of s."""
-    table = estimates
-    keep = ["grp", *(f"m{i}" for i in _DIMENSIONS)]
-    for i in _DIMENSIONS:
-        for j in range(i + 1):
-            rest = F.col(f"s{i}{j}")
+def _with_distance(rows: DataFrame) -> DataFrame:
+    """``rows`` (x*, v*, m*, s*) with ``far``: the squared Mahalanobis distance by the
+    scatter s plus the row's own noise v, by the Cholesky factor of that sum."""
+    table = rows
+    for j in _DIMENSIONS:
+        for i in range(j, len(_DIMENSIONS)):
+            rest = F.col(f"s{i}{j}") + (F.col(f"v{i}") if i == j else F.lit(0.0))
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            value = F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}")
+            value = F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}")
             table = table.withColumn(f"l{i}{j}", value)
+    far = F.lit(0.0)
     for i in _DIMENSIONS:
-        for j in range(i + 1):
-            if i == j:
-                value = 1 / F.col(f"l{i}{i}")
-            else:
-                total = F.lit(0.0)
-                for k in range(j, i):
-                    total = total - F.col(f"l{i}{k}") * F.col(f"w{k}{j}")
-                value = total / F.col(f"l{i}{i}")
-            table = table.withColumn(f"w{i}{j}", value)
-    return table.select(*keep, *(f"w{i}{j}" for i in _DIMENSIONS for j in range(i + 1)))
+        along = F.col(f"x{i}") - F.col(f"m{i}")
+        for k in range(i):
+            along = along - F.col(f"l{i}{k}") * F.col(f"y{k}")
+        table = table.withColumn(f"y{i}", along / F.col(f"l{i}{i}"))
+        far = far + F.col(f"y{i}") * F.col(f"y{i}")
+    made = [f"l{i}{j}" for i in _DIMENSIONS for j in range(i + 1)] + [f"y{i}" for i in _DIMENSIONS]
+    return table.withColumn("far", far).drop(*made)
 
 
 def _moments(near: DataFrame, factor: float) -> DataFrame:
-    """(grp, m*, s*) of the rows, scatter times ``factor`` with the floors added.
+    """(grp, m*, s*) of the rows, scatter times ``factor``.
 
     Products are summed about the estimate before, so that nothing large cancels.
     """
@@ -188,7 +174,7 @@ def _moments(near: DataFrame, factor: float) -> DataFrame:
 
     def scatter(i: int, j: int) -> Column:
         value = (F.col(f"p{i}{j}") - F.col(f"d{i}") * F.col(f"d{j}")) * factor
-        return (value + FLOORS[i] ** 2 if i == j else value).alias(f"s{i}{j}")
+        return value.alias(f"s{i}{j}")
 
     return table.select(
         "grp", *[(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in _DIMENSIONS],
@@ -196,7 +182,7 @@ def _moments(near: DataFrame, factor: float) -> DataFrame:
 
 
 def fit(measured: DataFrame, min_rows: int = MIN_ROWS, steps: int = STEPS):
-    """((own, grp) table, (grp, m*, w*) table, lines of each) from rows with ``own``, ``pooled``, ``x*``.
+    """((own, grp) table, (grp, m*, s*) table, lines of each) from rows with ``own``, ``pooled``, ``x*``, ``v*``.
 
     Starts from medians and median deviations; each step takes the ``SHARE`` of a
     group's rows that lie nearest and estimates from them; the last takes all rows
@@ -214,18 +200,18 @@ def fit(measured: DataFrame, min_rows: int = MIN_ROWS, steps: int = STEPS):
     spread = _joined(rows, medians, "grp", n_estimates).groupBy("grp").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in _DIMENSIONS],
         *[middle(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), f"a{i}") for i in _DIMENSIONS])
-    estimates = saved(_factored(spread.select(
+    estimates = saved(spread.select(
         "grp", *(f"m{i}" for i in _DIMENSIONS),
-        *[(F.pow(1.4826 * F.col(f"a{i}"), F.lit(2.0)) + FLOORS[i] ** 2 if i == j else F.lit(0.0))
-          .alias(f"s{i}{j}") for i in _DIMENSIONS for j in range(i + 1)])))
+        *[(F.pow(1.4826 * F.col(f"a{i}"), F.lit(2.0)) if i == j else F.lit(0.0)).alias(f"s{i}{j}")
+          for i in _DIMENSIONS for j in range(i + 1)]))
     for _ in range(steps):
-        far = _joined(rows, estimates, "grp", n_estimates).withColumn("far", _distance())
+        far = _with_distance(_joined(rows, estimates, "grp", n_estimates))
         bounds = saved(far.groupBy("grp").agg(
             F.percentile_approx("far", SHARE, 10_000).alias("bound")))
         near = _joined(far, bounds, "grp", n_estimates).filter("far <= bound")
-        estimates = saved(_factored(_moments(near, CONSISTENCY)))
-    far = _joined(rows, estimates, "grp", n_estimates).withColumn("far", _distance())
-    estimates = saved(_factored(_moments(far.filter(F.col("far") <= REWEIGHT), 1.0)))
+        estimates = saved(_moments(near, CONSISTENCY))
+    far = _with_distance(_joined(rows, estimates, "grp", n_estimates))
+    estimates = saved(_moments(far.filter(F.col("far") <= REWEIGHT), 1.0))
     return groups, estimates, n_groups, n_estimates
 
 
@@ -239,7 +225,7 @@ def _judged(measured: DataFrame, model, cutoff: float) -> DataFrame:
     """``measured`` with ``far`` (null where no row gave an estimate) and ``kept``."""
     groups, estimates, n_groups, n_estimates = model
     known = _joined(measured, groups, "own", n_groups, "left")
-    far = _joined(known, estimates, "grp", n_estimates, "left").withColumn("far", _distance())
+    far = _with_distance(_joined(known, estimates, "grp", n_estimates, "left"))
     usual = F.coalesce(F.col("far") <= cutoff, F.lit(True))
     return far.withColumn("kept", ~F.col("base_failed") & usual)
 
@@ -281,7 +267,7 @@ def keep_good(
     texts by row.
     """
     measured = saved(_measured(docs, text, lang, source, []).filter(~F.col("base_failed"))
-                     .select("own", "pooled", *(f"x{i}" for i in _DIMENSIONS)))
+                     .select("own", "pooled", *(f"{c}{i}" for c in "xv" for i in _DIMENSIONS)))
     model = fit(measured, min_rows)
     whole = fresh(docs, "whole")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole)

@@ -108,7 +108,7 @@ having_line AS (
   FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM lined) GROUP BY host, line),
 boilerplate AS (
   SELECT host, list(line) AS known FROM having_line JOIN totals USING (host)
-  WHERE n >= 3 AND n > CAST(0.3 AS DOUBLE) * host_pages GROUP BY host),
+  WHERE n >= 2 AND n > CAST(0.3 AS DOUBLE) * host_pages GROUP BY host),
 kept AS (
   SELECT page_id, host, host_pages, lines, list_filter(lines,
     lambda x: NOT list_contains(coalesce(known, []), x)) AS kept

@@ -24,7 +24,7 @@ def _host(url):
     return found[1].lower() if found else ""
 
 
-def _expected(rows, ratio=0.3, least=3):
+def _expected(rows, ratio=0.3, least=2):
     pages, having = Counter(), Counter()
     for _, url, page in rows:
         pages[_host(url)] += 1

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cardlake.llm.quality_classifier import calibrated, classify
+from cardlake.llm.quality_classifier import calibrated, classify, evenly_cut
 
 LABEL = "doc_id long, quality int, toxic int"
 
@@ -44,3 +44,31 @@ def test_odd_rows(odd, none, labels, spark):
     assert len({r.score for r in classify(odd, one).collect()}) == 1
     both = spark.createDataFrame([(2, 1, 0), (6, 0, 0), (4, 1, 0), (4, 1, 0), (8, 0, 0)], LABEL)
     assert classify(odd, both).count() == odd.count()
+
+
+def test_a_very_long_labelled_text_pushes_no_other_out(make, spark):
+    good = [(i, f"the river runs past the old mill and the fields number {i} " * 6) for i in range(80)]
+    bad = [(100 + i, f"$$ buy now ## click {i} && win | free <b> " * 8) for i in range(80)]
+    marks = [(i, int(i < 100), 0) for i, _ in good + bad]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    plain = {r.doc_id: r.score for r in classify(make(good + bad), labels).collect()}
+    giant = [(1, "the river runs past the old mill and the fields " * 200_000), *good[2:]]
+    found = {r.doc_id: r.score for r in classify(make(giant + bad), labels).collect()}
+    assert min(found[i] for i, _ in giant) > max(found[i] for i, _ in bad)
+    assert all(abs(found[i] - plain[i]) < 0.3 for i in found if i in plain)
+
+
+def test_long_texts_are_cut_evenly(spark):
+    text = "".join(chr(97 + n % 26) for n in range(100_000))
+    rows = spark.createDataFrame([(text,), ("short",), (None,), ("é" * 8192,)], "t string")
+    cut = [r[0] for r in rows.select(evenly_cut("t")).collect()]
+    step = (100_000 - 2048) // 3
+    assert cut == ["".join(text[n * step:n * step + 2048] for n in range(4)), "short", None, "é" * 8192]
+
+
+def test_repeated_rows_of_one_id_are_one_example(make, spark):
+    rows = [(7, "the same row again and again")] * 3000 + [(i, f"other text {i}") for i in range(20)]
+    labels = spark.createDataFrame([(7, 1, 0)] + [(i, i % 2, 0) for i in range(20) if i != 7],
+                                   "doc_id long, quality int, toxic int")
+    found = classify(make(rows), labels).collect()
+    assert len(found) == 3020 and all(0 <= r.score <= 1 for r in found)
