@@ -140,24 +140,33 @@ def _joined(rows: DataFrame, table: DataFrame, key: str, size: int, how: str = "
 
 def _with_distance(rows: DataFrame) -> DataFrame:
     """``rows`` (x*, v*, m*, s*) with ``far``: the squared Mahalanobis distance by the
-    scatter s plus the row's own noise v, by the Cholesky factor of that sum."""
-    table = rows
-    for j in _DIMENSIONS:
-        for i in range(j, len(_DIMENSIONS)):
-            rest = F.col(f"s{i}{j}") + (F.col(f"v{i}") if i == j else F.lit(0.0))
-            for k in range(j):
-                rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            value = F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}")
-            table = table.withColumn(f"l{i}{j}", value)
-    far = F.lit(0.0)
-    for i in _DIMENSIONS:
-        along = F.col(f"x{i}") - F.col(f"m{i}")
-        for k in range(i):
-            along = along - F.col(f"l{i}{k}") * F.col(f"y{k}")
-        table = table.withColumn(f"y{i}", along / F.col(f"l{i}{i}"))
-        far = far + F.col(f"y{i}") * F.col(f"y{i}")
-    made = [f"l{i}{j}" for i in _DIMENSIONS for j in range(i + 1)] + [f"y{i}" for i in _DIMENSIONS]
-    return table.withColumn("far", far).drop(*made)
+    scatter s plus the row's own noise v, by the Cholesky factor of that sum.
+
+    Step by step with ``let``: written out, the factor's terms would fill a page of code
+    for each row.
+    """
+    size = len(_DIMENSIONS)
+
+    def column(j: int, before: list[Column], far: Column) -> Column:
+        """``far`` with what column j of the factor and the places after it add. ``before``:
+        of each column, its values from the diagonal down, and its coordinate."""
+        if j == size:
+            return far
+
+        def left(i: int) -> Column:
+            rest = F.col(f"s{i}{j}") + F.col(f"v{i}") if i == j else F.col(f"s{i}{j}")
+            for k, known in enumerate(before):
+                rest = rest - known[i - k] * known[j - k]
+            return rest
+
+        away = F.col(f"x{j}") - F.col(f"m{j}")
+        for k, known in enumerate(before):
+            away = away - known[j - k] * known[size - k]
+        return let(F.sqrt(F.greatest(left(j), F.lit(1e-12))), lambda root: let(
+            F.array(root, *[left(i) / root for i in range(j + 1, size)], away / root),
+            lambda new: column(j + 1, [*before, new], far + new[size - j] * new[size - j])))
+
+    return rows.withColumn("far", column(0, [], F.lit(0.0)))
 
 
 def _moments(near: DataFrame, factor: float) -> DataFrame:
