@@ -5,8 +5,14 @@ token may come next in a correct encoding. It starts as one state with an arc fo
 byte; each merge, in order, adds a gadget: behind the left part the arc of the right
 part is cut, and the merged token's arc is laid beside the left part's arcs and leads
 to a copy of the state behind the right part. For each string exactly one path from
-the start spells it. Arcs are worked out from the gadgets when first asked for and
-kept in a transition table. Decoding emits the labels of the arcs.
+the start spells it. A state is kept as what it was copied from, and when, with its own
+cuts; so states share what they have in common.
+
+To read bytes, a second table says which tokens end at a byte: a node is the longest end
+of what was read that some token begins with. Of the tokens that end there exactly one
+has an arc from the state before it, and that is the state now: each byte is read
+once, and its state follows from the table and from states before. Decoding emits the
+labels of the arcs.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -60,85 +66,113 @@ class BpeAutomaton:
             self.labels[number] = token.encode()
         self.special = special
         ids = model["vocab"]
-        # Per token: the merge that makes it (-1 for bytes), and its parts.
-        self.made, self.left, self.right = [-1] * size, [-1] * size, [-1] * size
-        self.merge_of: dict[int, int] = {}
         self.ids = {spelled[c]: ids[c] for c in letters if c in ids}
+        # A token's state: a copy of the state of ``source``, as it was before merge ``made``;
+        # its arc: laid beside the arcs of ``left`` by that merge. Bytes have made -1.
+        self.made, self.left, self.source = [-1] * size, [-1] * size, [-1] * size
+        # The merge that cut the arc of a token from a state, by state and token.
+        self.cuts: dict[int, int] = {}
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            a, b, whole = ids[left], ids[right], ids[left + right]
+            whole = ids[left + right]
             if self.made[whole] >= 0:
                 raise ValueError(f"two merges make {left + right!r}")
-            self.made[whole], self.left[whole], self.right[whole] = rank, a, b
-            self.merge_of[a << 32 | b] = rank
+            self._add_gadget(rank, ids[left], ids[right], whole)
             self.ids[spelled[left + right]] = whole
-        # Lengths of the tokens that begin with two given bytes, longest first.
-        lengths: dict[bytes, set[int]] = {}
-        for label in self.ids:
-            if len(label) > 1:
-                lengths.setdefault(label[:2], {1}).add(len(label))
-        self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in lengths.items()}
+        self._compile_reader()
         self.arcs: dict[int, bool] = {}
         self.splitter = (
             regex.compile("(" + "|".join(regex.escape(t) for t in sorted(special, key=len)[::-1])
                           + ")") if special else None)
 
+    def _add_gadget(self, rank: int, left: int, right: int, whole: int) -> None:
+        self.cuts[left << 32 | right] = rank
+        self.made[whole], self.left[whole], self.source[whole] = rank, left, right
+
+    def _compile_reader(self) -> None:
+        """The table that reads bytes: a row of next nodes for each node, shared by nodes
+        that no longer token goes on from, and the tokens that end at each node."""
+        below: list[dict[int, int]] = [{}]
+        token_at = [-1]
+        for label, token in self.ids.items():
+            node = 0
+            for byte in label:
+                if byte not in below[node]:
+                    below[node][byte] = len(below)
+                    below.append({})
+                    token_at.append(-1)
+                node = below[node][byte]
+            token_at[node] = token
+        row_of, shorter = [0] * len(below), [0] * len(below)
+        ends: list[tuple[tuple[int, int], ...]] = [()] * len(below)
+        rows = [np.zeros(256, np.int32)]
+        for byte, child in below[0].items():
+            rows[0][byte] = child
+        queue = [(child, 1) for child in below[0].values()]
+        for node, depth in queue:  # grows: shorter nodes come first
+            shared = shorter[node]
+            ends[node] = (((token_at[node], depth),) if token_at[node] >= 0 else ()) + ends[shared]
+            if not below[node]:
+                row_of[node] = row_of[shared]
+                continue
+            row = rows[row_of[shared]].copy()
+            for byte, child in below[node].items():
+                shorter[child] = int(row[byte])
+                row[byte] = child
+                queue.append((child, depth + 1))
+            row_of[node] = len(rows)
+            rows.append(row)
+        self.next_node = memoryview(np.concatenate(rows)).cast("B").cast("i")
+        self.row_of = [256 * row for row in row_of]
+        self.ends = ends
+
     def _arc(self, last: int, token: int) -> bool:
         """Whether an arc ``token`` leaves the state behind ``last``, after all gadgets."""
-        made, built = self.made, len(self.merge_of)
+        made, left, source, cuts = self.made, self.left, self.source, self.cuts
+        built = len(cuts)
         while True:
-            rank = self.merge_of.get(last << 32 | token)
+            rank = cuts.get(last << 32 | token)
             if rank is not None and rank < built:
                 return False  # its gadget cut this arc
             if made[last] < 0 and made[token] < 0:
                 return True
             if made[token] >= made[last]:  # laid beside its left part's arc, after the cut
-                built, token = made[token] + 1, self.left[token]
-            else:  # a copy of the state behind the right part, before the gadget
-                built, last = made[last], self.right[last]
+                built, token = made[token] + 1, left[token]
+            else:  # a copy of another state, before the gadget
+                built, last = made[last], source[last]
+
+    def states(self, stream: Iterable[int]) -> Iterator[int]:
+        """The state after each byte: the last token of the path that spells all so far."""
+        next_node, row_of, ends, arcs = self.next_node, self.row_of, self.ends, self.arcs
+        node, before = 0, []
+        for byte in stream:
+            node = next_node[row_of[node] + byte]
+            place = len(before)
+            for token, size in ends[node]:
+                if size > place:  # from the start, where every arc leaves
+                    state = token
+                    break
+                last = before[place - size]
+                leads = arcs.get(last << 32 | token)
+                if leads is None:
+                    if len(arcs) > 4 * CACHE_ENTRIES:
+                        arcs.clear()
+                    leads = arcs[last << 32 | token] = self._arc(last, token)
+                if leads:
+                    state = token
+                    break
+            before.append(state)
+            yield state
 
     def encode_word(self, word: bytes) -> list[int]:
-        """The path that spells ``word``, found by trying longer arcs first.
-
-        A path from the start to a place in the word is the only one to there, so a
-        place the word cannot be ended from is never tried again.
-        """
-        ids, arcs, lengths, size = self.ids, self.arcs, self.lengths, len(word)
-        if word in ids:
-            return [ids[word]]
-        if not word:
-            return []
-        path: list[int] = []
-        behind = []
-        dead = set()
-        place, last, options = 0, -1, iter(lengths.get(word[:2], (1,)))
-        while True:
-            for length in options:
-                end = place + length
-                if end > size or end in dead:
-                    continue
-                token = ids.get(word[place:end])
-                if token is None:
-                    continue
-                if last >= 0:
-                    key = last << 32 | token
-                    leads = arcs.get(key)
-                    if leads is None:
-                        if len(arcs) > 4 * CACHE_ENTRIES:
-                            arcs.clear()
-                        leads = arcs[key] = self._arc(last, token)
-                    if not leads:
-                        continue
-                path.append(token)
-                if end == size:
-                    return path
-                behind.append((place, last, options))
-                place, last, options = end, token, iter(lengths.get(word[end:end + 2], (1,)))
-                break
-            else:
-                dead.add(place)
-                place, last, options = behind.pop()
-                path.pop()
+        """The labels of the path that spells ``word``, read off from its last state."""
+        states, labels = list(self.states(word)), self.labels
+        path, place = [], len(word)
+        while place:
+            path.append(states[place - 1])
+            place -= len(labels[path[-1]])
+        path.reverse()
+        return path
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")

@@ -65,6 +65,31 @@ def test_exactly_one_path_spells_a_word(both):
         assert list(paths(word)) == [automaton.encode_word(word)]
 
 
+def test_each_byte_is_read_once_and_each_state_ends_the_path_so_far(both):
+    encoder, reference = both
+    random.seed(8)
+    words = [" unbelievable", " antidisestablishmentarianism", " " + "ab" * 90, " zzzzyzx", " the"]
+    words += [" " + "".join(random.choices("aeinrst", k=random.randrange(1, 25))) for _ in range(200)]
+    for word in words:
+        read = []
+
+        def stream(word=word, read=read):
+            for byte in word.encode():
+                read.append(byte)
+                yield byte
+
+        for n, state in enumerate(encoder.automaton.states(stream()), 1):
+            assert len(read) == n  # nothing is looked at ahead, or again
+            assert state == reference.encode(word[:n], add_special_tokens=False).ids[-1]
+        assert bytes(read) == word.encode()
+
+
+def test_states_share_rows_of_the_table(both):
+    automaton = both[0].automaton
+    rows = len(automaton.next_node) // 256
+    assert len(set(automaton.row_of)) == rows < 0.7 * len(automaton.row_of)
+
+
 def test_table(documents, both, tokenizer):
     found = {r.doc_id: r for r in code_digests(documents, tokenizer).collect()}
     for r in documents.select("doc_id", "text").collect():
