@@ -4,6 +4,10 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor
 all but the last return the columns of ``documents``. Between stages the rows are
 written as Parquet into the shared folder and read again, so a stage reads
 files and a lost executor repeats one stage's tasks at most.
+
+A null text counts as empty. Repeated rows are judged alike by the first two stages, and one of
+them stays after the third. An empty table stays empty. Further columns of ``docs`` are kept
+through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,30 +21,35 @@ from cardlake.plans.session import scratch_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents the quality rules reject."""
+    """Without the documents the quality rules reject: null, empty and short texts, and those
+    far from what is usual in their language and source (null is a value of these)."""
     return quality_rules.keep_good(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that are in no language learned."""
+    """Without the documents that are in no language learned, or without a letter. A null
+    language teaches nothing, but the text is judged."""
     ship(spark)
     return language_id.keep_identified(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the least id, a null one last; of rows with
+    the same id the first in the table."""
     ship(spark)
     return exact_dedup.drop_duplicates(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates: the least id, a null one last; texts
+    without a word are one class."""
     ship(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their ids, in sequences of 2048 tokens."""
+    """Pieces of the documents with their ids, in sequences of 2048 tokens; an empty text is
+    its end alone."""
     ship(spark)
     return packing.pack(docs, tokenizer_path(), capacity=2048, with_ids=True)
 
