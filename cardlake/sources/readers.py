@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import warnings
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructType
 
+from cardlake.sources.json_arrays import array_elements
 from cardlake.sources.schemas import CORRUPT_COLUMN, OTHER_FIELDS
 
 
@@ -59,19 +61,47 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: str) ->
     return _records(lines, schema)
 
 
-def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+# Array files from this size on are cut between tasks.
+SPLIT_BYTES = 128 << 20
+
+
+def _begins_array(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = files.open(place)
+    try:
+        return bytes(stream.readNBytes(4096)).lstrip()[:1] == b"["
+    finally:
+        stream.close()
+
+
+def read_json_array(
+    spark: SparkSession, path: str | list[str], schema: str, split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
     """JSON files that each hold one array of records, or one record.
 
-    An array cannot be split, so one file is one task: stage large inputs as many
-    files. The records come as those of :func:`read_json_lines`; a file that does not
-    parse comes as one bad record with its whole text.
+    A file below ``split_bytes`` is one task; a larger array is cut at the borders of its
+    records (see :mod:`cardlake.sources.json_arrays`). The records come as those of
+    :func:`read_json_lines`. A file that does not parse comes as one bad record with its
+    whole text; of a large one, only the records that do not parse are bad.
     """
-    texts = spark.read.text(path, wholetext=True).filter(F.col("value").rlike(r"\S"))
-    elements = F.when(F.col("value").rlike(r"^\s*\{"), F.array("value")).otherwise(
-        F.from_json("value", "array<string>")
-    )
-    whole = F.coalesce(elements, F.array("value"))
-    return _records(texts.select(F.explode(whole).alias("value")), schema)
+    sizes = spark.read.format("binaryFile").load(path).select("path", "length")
+    large = [r["path"] for r in sizes.filter(F.col("length") >= split_bytes).collect()]
+    large = [p for p in large if _begins_array(spark, p)]
+    parts = []
+    if large:
+        small = [r["path"] for r in sizes.select("path").collect() if r["path"] not in set(large)]
+        parts.append(array_elements(spark, large))
+    else:
+        small = path
+    if small:
+        texts = spark.read.text(small, wholetext=True).filter(F.col("value").rlike(r"\S"))
+        elements = F.when(F.col("value").rlike(r"^\s*\{"), F.array("value")).otherwise(
+            F.from_json("value", "array<string>")
+        )
+        whole = F.coalesce(elements, F.array("value"))
+        parts.append(texts.select(F.explode(whole).alias("value")))
+    return _records(reduce(DataFrame.union, parts), schema)
 
 
 def read_table(

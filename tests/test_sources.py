@@ -1,10 +1,14 @@
 """Tables, catalog, and the calls made to JDBC (no database is started)."""
 
+import json
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cardlake.plans.session import configure, scratch_folder, sized
-from cardlake.sources import readers, writers
+from cardlake.sources import json_arrays, readers, writers
 
 
 class StandIn:
@@ -237,3 +241,87 @@ def test_nested_and_oddly_named_fields(spark, tmp_path):
         spark, str(path), "`a b` STRUCT<x: INT>, `c.d` ARRAY<INT>, `it's` STRING, e TIMESTAMP")
     row = found.select(F.col("`a b`.x"), F.col("`c.d`"), F.col("`it's`"), F.unix_timestamp("e")).first()
     assert tuple(row) == (1, [1, 2], "y", 1524084707)
+
+
+def _element(rng, n):
+    """A record with nested values, braces and quotes in strings, and some length."""
+    text = "".join(rng.choices('ab{}[]",:\\\\ \\n\u00e9', k=rng.randrange(40)))
+    return {"k": n, "s": text, "o": {"x": [1, {"y": text}], "z": {}}, "e": []}
+
+
+def _split_anywhere(text, size):
+    """What the tasks make of a text that is cut into parts of ``size`` bytes."""
+    raw, rows, at = text.encode(), [], 0
+    pieces = raw.split(b"}")
+    for piece in pieces[:-1] if raw.endswith(b"}") else pieces:
+        part = 0 if at == 0 else (at - 1) // size * size
+        rows.append(("f", part, piece.decode(), len(raw)))
+        at += len(piece) + 1
+    names = ["path", "part", "value", "file_size"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+    begins = json_arrays._begins(next(json_arrays._changes(iter([batch]))).to_pylist())
+    found = [r for b in json_arrays._cut(begins)(iter([batch])) for r in b.to_pylist()]
+    open_ = {}
+    for r in found:
+        if not r["whole"]:
+            open_.setdefault(r["part"], []).append((r["place"], r["value"]))
+    return [r["value"] for r in found if r["whole"]] + [
+        "".join(v for _, v in sorted(o)) for o in open_.values()]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_records_are_whole_wherever_a_file_is_cut(indent):
+    rng = random.Random(4)
+    records = [_element(rng, n) for n in range(60)] + [{"k": 60, "s": "long " * 500}]
+    text = " " + json.dumps(records, indent=indent, ensure_ascii=False) + "\n"
+    for size in (*range(20, 200, 7), 1000, 10**6):
+        found = sorted((json.loads(e) for e in _split_anywhere(text, size)), key=lambda r: r["k"])
+        assert found == records
+
+
+def test_an_array_is_cut_between_tasks(spark, tmp_path):
+    rng, split = random.Random(9), 400
+    records = [_element(rng, n) for n in range(24)] + [{"k": 24, "s": "long " * 500}]
+    for name, part in (("a", records[:16]), ("b", records[16:])):
+        (tmp_path / f"{name}.json").write_text(
+            " " + json.dumps(part, ensure_ascii=False) + "\n")
+    (tmp_path / "empty.json").write_text("[ ]")
+    (tmp_path / "one.json").write_text('{"k": 25}')
+    old = {k: spark.conf.get(k) for k in (
+        "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key in old:
+            spark.conf.set(key, split)
+        found = readers.read_json_array(spark, str(tmp_path), "k INT, s STRING, o STRING", 2)
+        whole = found.collect()
+        assert [r["_corrupt_record"] for r in whole] == [None] * 26
+        rows = {r.k: r for r in whole}
+        pieces = json_arrays._pieces(spark, [str(tmp_path / "a.json")])
+        tasks = pieces.select("part").distinct().count()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    assert sorted(rows) == list(range(26))
+    assert all(rows[r["k"]].s == r["s"] for r in records)
+    assert all(json.loads(rows[r["k"]].o) == r["o"] for r in records[:24])
+    assert tasks > 3
+
+
+def test_broken_arrays_show_what_is_broken(spark, tmp_path):
+    texts = {
+        "a": '[{"k": 1}, {"k": ', "b": '[{"k": 2}, 7, "x", {"k": 3}]', "c": '[{"k": 4} {"k": 5}',
+        "d": "[", "e": '[{"k": 6}]]', "f": '[{"k": "}',
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    for size in ("9",):
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = readers.read_json_array(spark, str(tmp_path), "k INT", 1).collect()
+            found = sorted(r.k for r in rows if r["_corrupt_record"] is None)
+            left = sorted(r["_corrupt_record"] for r in rows if r["_corrupt_record"] is not None)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert found == [1, 2, 3, 4, 5, 6]
+        assert left == ['7, "x"', '{"k": ', '{"k": "}']
