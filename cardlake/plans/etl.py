@@ -17,14 +17,11 @@ from cardlake.sources.writers import ensure_database, save_as_table, write_jdbc,
 
 TABLES = ["branch", "credit", "customer", "loan"]
 # How tables are kept: facts in one folder per month, in files that hold ranges of cards
-# (of a card with very many transactions, ranges of these), with Bloom filters of the keys
-# they are not ordered by; customers in ranges of their key.
-ROW_GROUP_VALUES = 500_000
+# (of a card with very many transactions, ranges of these); customers in ranges of their key.
 LAYOUT = {
     "credit": {
         "partition_by": ["txn_month"], "cluster_by": ["CUST_CC_NO", "TRANSACTION_ID"],
         "sort_by": ["CUST_CC_NO", "TRANSACTION_ID"],
-        "bloom": {"TRANSACTION_ID": ROW_GROUP_VALUES, "CUST_SSN": ROW_GROUP_VALUES},
     },
     "customer": {"cluster_by": ["SSN"], "sort_by": ["SSN"]},
 }
@@ -48,13 +45,16 @@ def key_range(ssn: Column, keys_each: int = KEYS_EACH) -> Column:
 
 
 def path_sink(
-    root: str, keys_each: int = KEYS_EACH, keep: int = 2, summarize: bool = False
+    root: str, keys_each: int = KEYS_EACH, keep: int = 2, summarize: bool = False,
+    bloom: Mapping[str, int] | None = None,
 ) -> Sink:
     """Parquet tables below a folder, each switched to at once when it is whole.
 
     The newest ``keep`` versions stay readable. With ``summarize`` the summaries of the
     transactions (:mod:`cardlake.plans.summaries`) follow the months that a load changed;
-    all loads of a folder should then ask for it.
+    all loads of a folder should then ask for it. ``bloom`` names keys that transactions are
+    looked up by and files are not ordered by (see ``write_table``); a filter takes over a
+    byte for each value expected in a row group, so it suits months of many rows.
     """
     def store(df: DataFrame, table: str, mode: str) -> DataFrame:
         spark, layout = df.sparkSession, dict(LAYOUT.get(table, {}))
@@ -63,6 +63,8 @@ def path_sink(
             df = with_key_range(df, keys_each)
             layout["partition_by"] = [KEY_RANGE]
             mode = "append" if mode == "append" else "overwrite"
+        if table == "credit" and bloom:
+            layout["bloom"] = bloom
         before = versions.folders(spark, root, table) or []
         versions.publish(df, root, table, mode, **layout)
         versions.vacuum(spark, root, table, keep)

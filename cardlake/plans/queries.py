@@ -1100,5 +1100,6 @@ def stored_transaction(spark, sf_dir):
     """Rows of one transaction number, by which the files are not ordered: row groups
     whose Bloom filter does not hold it are passed over."""
     path = f"{scratch_folder(spark)}/credit"
-    writers.write_table(bank.txn(spark, sf_dir), path, **LAYOUT["credit"])
+    writers.write_table(
+        bank.txn(spark, sf_dir), path, **LAYOUT["credit"], bloom={"TRANSACTION_ID": 10_000})
     return _txn_rows(read_table(spark, path, schemas.CREDIT).filter(F.col("TRANSACTION_ID") == 1378))
