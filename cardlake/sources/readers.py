@@ -19,33 +19,50 @@ def _field(name: str) -> str:
     return f"$[{quote}{name}{quote}]"
 
 
+def _struct(fields: dict[str, str]) -> str:
+    """The type of a struct with these fields."""
+    return "struct<{}>".format(", ".join(
+        "`{}`: {}".format(name.replace("`", "``"), kind) for name, kind in fields.items()))
+
+
 def _records(lines: DataFrame, schema: str) -> DataFrame:
     """Records of texts ``value`` that hold one JSON object each.
 
     A text is parsed once, into a variant, whatever is asked for later: the step that
-    does it makes rows, which filters on the outcome are not moved below. Declared
-    and further fields are taken out of the variant. A record is bad if its text is no
-    object or if a declared field has a value that its type cannot hold.
+    does it makes rows, which filters on the outcome are not moved below. The declared fields
+    are taken out of the variant together. Only where they are not all that the object has
+    are its fields looked at one by one. A record is bad if its text is no object or if a
+    declared field has a value that its type cannot hold.
     """
     declared = StructType.fromDDL(schema)
+    kinds = {field.name: field.dataType.simpleString() for field in declared}
+    whole_numbers = [f.name for f in declared if isinstance(f.dataType, IntegralType)]
     record = F.col("_record")
     read = lines.select("value", F.explode(F.array(F.try_parse_json("value"))).alias("_record"))
-    columns, failed = [], F.lit(False)
+    taken = [F.try_variant_get(record, "$", _struct(kinds)).alias("_got"),
+             F.size(F.json_object_keys("value")).alias("_names")]
+    if whole_numbers:
+        taken.append(F.try_variant_get(
+            record, "$", _struct(dict.fromkeys(whole_numbers, "double"))).alias("_double"))
+    read = read.select("value", "_record", F.inline(F.array(F.struct(*taken))))
+    columns, failed, lost, found = [], F.lit(False), F.lit(False), F.lit(0)
     for field in declared:
-        got = F.try_variant_get(record, _field(field.name), field.dataType.simpleString())
+        got = F.col("_got")[field.name]
         there = F.try_variant_get(record, _field(field.name), "variant")
-        lost = got.isNull() & there.isNotNull() & ~F.is_variant_null(there)
-        if isinstance(field.dataType, IntegralType):  # a fraction would be cut off
-            lost = lost | (F.try_variant_get(record, _field(field.name), "double") != got)
+        lost = lost | (got.isNull() & there.isNotNull() & ~F.is_variant_null(there))
+        if field.name in whole_numbers:  # a fraction would be cut off
+            failed = failed | F.coalesce(F.col("_double")[field.name] != got, F.lit(False))
         columns.append(got.alias(field.name))
-        failed = failed | F.coalesce(lost, F.lit(False))
+        found = found + got.isNotNull().cast("int")
+    plain = F.coalesce(F.col("_got").isNotNull() & (F.col("_names") == found), F.lit(False))
     fields = F.try_variant_get(record, "$", "map<string,variant>")
     others = F.map_filter(fields, lambda name, _: ~name.isin(declared.fieldNames()))
     as_text = F.transform_values(others, lambda _, v: F.try_variant_get(v, "$", "string"))
-    bad = F.when(fields.isNull() | failed, F.col("value"))
+    # What stands behind the first condition is not worked out for plain records.
+    bad = F.when(plain, failed).otherwise(fields.isNull() | failed | F.coalesce(lost, F.lit(False)))
     return read.select(
-        *columns, F.when(F.size(others) > 0, as_text).alias(OTHER_FIELDS),
-        bad.alias(CORRUPT_COLUMN))
+        *columns, F.when(plain, F.lit(None)).when(F.size(others) > 0, as_text).alias(OTHER_FIELDS),
+        F.when(bad, F.col("value")).alias(CORRUPT_COLUMN))
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
