@@ -325,3 +325,34 @@ def test_broken_arrays_show_what_is_broken(spark, tmp_path):
             spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         assert found == [1, 2, 3, 4, 5, 6]
         assert left == ['7, "x"', '{"k": ', '{"k": "}']
+
+
+def test_declared_fields_are_taken_out_together(spark, tmp_path):
+    path = tmp_path / "a.json"
+    lines = ['{"a": 1, "s": "x"}', '{ "s":"y" , "a":"2"}', '{}', '{"a": null}', '{"a": 2.5}', '{"a": 2.0}',
+             '{"a": 1, "t": [1]}', '{"a": "x", "t": 1}', '{"a": 1, "a": 1}', '{"a": 1', '7', '{"s": {"q": 1}}']
+    path.write_text("\n".join(lines) + "\n")
+    read = readers.read_json_lines(spark, str(path), "a INT, s STRING")
+    assert [tuple(r) for r in read.collect()] == [
+        (1, "x", None, None), (2, "y", None, None), (None, None, None, None), (None, None, None, None),
+        (2, None, None, lines[4]), (2, None, None, None), (1, None, {"t": "[1]"}, None),
+        (None, None, {"t": "1"}, lines[7]), (None, None, None, lines[8]), (None, None, None, lines[9]),
+        (None, None, None, lines[10]), (None, '{"q":1}', None, None)]
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "json_object_keys" in plan and plan.count("Generate") == 2
+
+
+def test_pieces_of_a_written_table_do_not_follow_the_shuffle_partitions(spark, tmp_path):
+    keys = ["spark.sql.shuffle.partitions", writers._INITIAL, writers._READ, writers._MERGED]
+    before = {key: spark.conf.get(key, None) for key in keys}
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        rows = spark.range(600_000).select(F.xxhash64("id").alias("k"), F.lit("m").alias("m"))
+        writers.write_table(rows, str(tmp_path / "t"), ["m"], ["k"], cluster_by=["k"])
+        after = {key: spark.conf.get(key, None) for key in keys}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before["spark.sql.shuffle.partitions"])
+    assert after | {keys[0]: None, keys[2]: None} == before | {keys[0]: None, keys[2]: None}
+    assert spark.conf.get(keys[2]) == after[keys[2]]
+    stored = readers.read_table(spark, str(tmp_path / "t"))
+    assert len(stored.inputFiles()) >= 2 and stored.count() == 600_000
