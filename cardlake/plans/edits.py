@@ -26,10 +26,11 @@ def edit_customers(
     without an accepted edit publishes nothing.
     """
     stored = schema or f"{schemas.CUSTOMER}, {schemas.OTHER_FIELDS} MAP<STRING, STRING>"
-    customer = versions.read(spark, root, "customer", f"{stored}, {KEY_RANGE} BIGINT")
     # No more rows than the batch has ranges: other folders are not even listed for reading.
-    asked = changes.select(key_range(F.col("SSN"), keys_each).alias("r")).distinct().collect()
-    customer = customer.filter(F.col(KEY_RANGE).isin([r["r"] for r in asked if r["r"] is not None]))
+    found = changes.select(key_range(F.col("SSN"), keys_each).alias("r")).distinct().collect()
+    asked = {f"{KEY_RANGE}={r['r']}" for r in found if r["r"] is not None}
+    stored = f"{stored}, {KEY_RANGE} BIGINT"
+    customer = versions.read(spark, root, "customer", stored, only=asked)
     small = updates.small_batch(changes)
     checked = updates.validate_changes(
         updates.normalize_changes(changes, title), customer, small=small)
@@ -41,7 +42,8 @@ def edit_customers(
     good = updates.accepted(checked).withColumn(KEY_RANGE, key_range(F.col("SSN"), keys_each))
     ranges = [r[0] for r in good.select(KEY_RANGE).distinct().collect()]
     if ranges:
-        touched = customer.filter(F.col(KEY_RANGE).isin(ranges))
+        names = {f"{KEY_RANGE}={r}" for r in ranges}
+        touched = versions.read(spark, root, "customer", stored, only=names)
         edited = updates.apply_updates(
             touched, good.drop(KEY_RANGE), updated_at, small=small)
         versions.publish(

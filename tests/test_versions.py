@@ -294,3 +294,16 @@ def test_absent_keys_read_no_row_group(spark, tmp_path):
     assert sum(looked_up(path, key) > 0 for key in range(50_001, 50_041, 2)) <= 3
     present = table.first()["TRANSACTION_ID"]
     assert read_table(spark, path).filter(F.col("TRANSACTION_ID") == present).count() == 1
+
+
+def test_only_the_named_folders_are_listed(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(50).select(F.col("id").alias("k"), (F.col("id") % 50).alias("p"))
+    versions.publish(rows, root, "t", "overwrite", ["p"])
+    listing = spark.conf.get(versions._LISTING)
+    found = versions.read(spark, root, "t", "k BIGINT, p BIGINT", only={"p=3", "p=49", "p=77"})
+    assert sorted(map(tuple, found.collect())) == [(3, 3), (49, 49)]
+    assert all("/p=3/" in f or "/p=49/" in f for f in found.inputFiles())
+    assert versions.read(spark, root, "t", "k BIGINT, p BIGINT", only=set()).count() == 0
+    assert versions.read(spark, root, "t", "k BIGINT, p BIGINT").count() == 50
+    assert spark.conf.get(versions._LISTING) == listing
