@@ -339,7 +339,7 @@ def test_declared_fields_are_taken_out_together(spark, tmp_path):
         (None, None, {"t": "1"}, lines[7]), (None, None, None, lines[8]), (None, None, None, lines[9]),
         (None, None, None, lines[10]), (None, '{"q":1}', None, None)]
     plan = read._jdf.queryExecution().optimizedPlan().toString()
-    assert "json_object_keys" in plan and plan.count("Generate") == 2
+    assert plan.count("Generate inline") == 1  # the declared fields, once for all steps behind
 
 
 def test_pieces_of_a_written_table_do_not_follow_the_shuffle_partitions(spark, tmp_path):
